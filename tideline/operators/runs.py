@@ -17,7 +17,6 @@ STEP_COLUMNS = tuple(f"step{s}_s" for s in STEPS)
 SECONDS_FIELDS = ("wall_s", "elapsed_s", "duration_s", "seconds")
 NAME_FIELDS = ("name", "title", "label", "msg", "message")
 STEP_NAME = r"(?i)Step\s*(\d+)"
-WHOLE_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
 def _against(table: DataFrame, baseline: DataFrame) -> DataFrame:
@@ -122,39 +121,23 @@ def step_speedups(
     )
 
 
-def _number(record: Column, field: str) -> Column:
-    """A field of a JSON record if it holds a number, else NULL."""
-    kind = F.schema_of_variant(F.try_variant_get(record, f"$.{field}", "variant"))
-    held = F.try_variant_get(record, f"$.{field}", "double")
-    return F.when(kind.isin(*WHOLE_KINDS, "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), held)
-
-
-def _whole(record: Column, field: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get(record, f"$.{field}", "variant"))
-    held = F.try_variant_get(record, f"$.{field}", "bigint")
-    return F.when(kind.isin(*WHOLE_KINDS) | (kind.startswith("DECIMAL") & kind.endswith(",0)")), held)
-
-
 def step_seconds(lines: DataFrame, run_id: str | None = None, column: str = "value") -> DataFrame:
     """Seconds per step from JSON lines of timings.
 
     Lines that do not parse, or name no step or no duration, are skipped. The step is the
     whole-number field ``step``, else the number in the first name that mentions one; the
-    duration is the first numeric seconds field, else milliseconds. Give ``run_id`` whenever
-    several runs share the lines.
+    duration is the first numeric seconds field, else milliseconds. A number written as text
+    does not count as one. Give ``run_id`` whenever several runs share the lines.
     """
-    records = lines.select(F.try_parse_json(F.trim(column)).alias("r"))
-    r = F.col("r")
+    fields = ["run_id string", "step bigint", *[f"{f} string" for f in NAME_FIELDS]]
+    fields += [f"{f} double" for f in (*SECONDS_FIELDS, "duration_ms")]
+    # A field of another type is read as NULL; the rest of its record is kept.
+    records = lines.select(F.from_json(column, ", ".join(fields)).alias("r")).select("r.*")
     if run_id is not None:
-        records = records.where(F.try_variant_get(r, "$.run_id", "string") == run_id)
-    named = [
-        F.nullif(F.regexp_extract(F.try_variant_get(r, f"$.{f}", "string"), STEP_NAME, 1), F.lit(""))
-        for f in NAME_FIELDS
-    ]
-    step = F.coalesce(_whole(r, "step"), *[n.try_cast("bigint") for n in named])
-    seconds = F.coalesce(
-        *[_number(r, f) for f in SECONDS_FIELDS], _number(r, "duration_ms") / F.lit(1000.0)
-    )
+        records = records.where(F.col("run_id") == run_id)
+    named = [F.regexp_extract(f, STEP_NAME, 1).try_cast("bigint") for f in NAME_FIELDS]
+    step = F.coalesce("step", *named)
+    seconds = F.coalesce(*SECONDS_FIELDS, F.col("duration_ms") / F.lit(1000.0))
     return (
         records.select(step.alias("step"), seconds.alias("seconds"))
         .dropna()

@@ -160,7 +160,7 @@ def run_analysis(
             save("regime_counts", transitions.label_counts(labels))
             save("top_regimes", transitions.top_labels(labels, axis), short=False)
         if 2 in steps:
-            _transition_step(labels, axis, save)
+            _transition_step(labels, axis, out, save)
         if set(steps) & {3, 4, 5, 6, 7}:
             joined = keep(
                 returns.join_features(labels, readers.read_panel(spark, model_features), axis)
@@ -210,16 +210,14 @@ def _manifest(labels: DataFrame) -> DataFrame:
     return cleaning.panel_summary(labels).withColumn("generated_at", F.current_timestamp())
 
 
-def _transition_step(labels: DataFrame, axis: Axis, save) -> None:
+def _transition_step(labels: DataFrame, axis: Axis, out: str, save) -> None:
     rows = transitions.with_run_ids(labels, axis).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = transitions.transition_counts(rows)
         save("transitions_counts", counts.orderBy(F.desc("count"), "regime", "regime_next"))
         # The few count rows just saved feed every table below.
-        spark = labels.sparkSession
-        probabilities = transitions.transition_probabilities(
-            spark.createDataFrame(counts.collect(), counts.schema)
-        )
+        saved = labels.sparkSession.read.parquet(f"{out}/transitions_counts")
+        probabilities = transitions.transition_probabilities(saved)
         save("transitions_prob", probabilities.orderBy("regime", "regime_next"))
         for name, value in (("matrix_counts", "count"), ("matrix_prob", "prob")):
             matrix = transitions.transition_matrix(probabilities, value)
