@@ -50,8 +50,7 @@ def plan_of(df):
 RELATIONAL = sorted(n for n in SQL if "roundtrip" not in n and "csv" not in n)
 
 
-@pytest.mark.parametrize("name", ["features_full", "transition_probabilities", "breadth_daily",
-                                  "returns_fwd1_by_symbol", "score_threshold_sweep", "run_summary"])
+@pytest.mark.parametrize("name", RELATIONAL)
 def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

@@ -89,7 +89,8 @@ def rolling_correlation(
     The series is one group by nature. With one row per calendar day it is short; with one
     row per timestamp it is laid out in blocks like a hot entity.
     """
-    series = df.withColumn("_series", F.lit(0))
+    # Not a plain literal, which would turn the lookup of its blocks into a cross join.
+    series = df.withColumn("_series", F.when(F.col(time).isNotNull(), 0))
     axis = Axis(entity="_series", time=time, **block_size)
     daily = isinstance(df.schema[time].dataType, T.DateType)
     axis = axis.bounded() if daily else axis.measured(series)

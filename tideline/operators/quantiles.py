@@ -62,9 +62,6 @@ def exact_quantiles(
             ]
         ).alias("_targets"),
     )
-    if few_groups or not by:
-        targets = F.broadcast(targets)
-
     # Rows below a bracket collapse into one NULL-valued count per target and group.
     reached = F.transform(
         F.filter("_targets", lambda t: F.col("_value") <= t["_high"]),
@@ -74,9 +71,12 @@ def exact_quantiles(
             F.when(F.col("_value") >= t["_low"], F.col("_value")).alias("_inside"),
         ),
     )
+    if by:
+        aimed = present.join(F.broadcast(targets) if few_groups else targets, keys)
+    else:
+        aimed = present.withColumn("_targets", targets.select("_targets").scalar())
     counts = (
-        present.join(targets, keys)
-        .select(*keys, F.inline(reached))
+        aimed.select(*keys, F.inline(reached))
         .groupBy(*keys, "_target", "_rank", "_inside")
         .agg(F.count(F.lit(1)).alias("_count"))
     )

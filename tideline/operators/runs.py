@@ -19,10 +19,9 @@ NAME_FIELDS = ("name", "title", "label", "msg", "message")
 STEP_NAME = r"(?i)Step\s*(\d+)"
 
 
-def _against(table: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Every row beside the single baseline row, which is all that is broadcast."""
-    keyed = table.withColumn("_one", F.lit(1))
-    return keyed.join(F.broadcast(baseline.withColumn("_one", F.lit(1))), "_one").drop("_one")
+def _one_row(table: DataFrame) -> Column:
+    """The only row of ``table`` as a struct, looked up once for the whole query."""
+    return table.select(F.struct("*")).scalar()
 
 
 def _preferred(column: str, fallback: Column) -> Column:
@@ -50,21 +49,18 @@ def benchmark_summary(runs: DataFrame) -> DataFrame:
         *[F.avg(f"step{s}_s").alias(f"step{s}_mean_s") for s in STEPS],
     )
     means = ["mean_wall_s", *[f"step{s}_mean_s" for s in STEPS]]
-    named = stats.agg(_preferred("exp_id", F.min_by("exp_id", "_started")).alias("exp_id"))
-    baseline = stats.join(F.broadcast(named), "exp_id").select(
-        F.col("exp_id").alias("baseline"), *[F.col(m).alias(f"_base_{m}") for m in means]
-    )
-    compared = _against(stats, baseline)
+    name = stats.agg(_preferred("exp_id", F.min_by("exp_id", "_started"))).scalar()
+    baseline = _one_row(stats.where(F.col("exp_id") == name).select("exp_id", *means))
 
     def speedup(mean: str, base_may_be_zero: bool = False) -> Column:
-        base = F.col(f"_base_{mean}")
+        base = F.col("_base")[mean]
         usable = (F.col(mean) > 0) & (F.lit(base_may_be_zero) | (base > 0))
         return F.when(usable, base / F.col(mean))
 
-    return compared.select(
+    return stats.withColumn("_base", baseline).select(
         *[c for c in stats.columns if c not in ("_started", *means[1:])],
         speedup("mean_wall_s", base_may_be_zero=True).alias("speedup"),
-        "baseline",
+        F.col("_base")["exp_id"].alias("baseline"),
         *means[1:],
         *[speedup(f"step{s}_mean_s").alias(f"step{s}_speedup") for s in STEPS],
     ).orderBy("exp_id")
@@ -83,16 +79,10 @@ def wall_times(runs: DataFrame) -> DataFrame:
 def wall_speedups(runs: DataFrame) -> DataFrame:
     """Speedup over ``B0``, or over the fastest experiment without it, largest first."""
     means = runs.groupBy("exp_id").agg(F.avg("wall_seconds").alias("mean"))
-    base = means.agg(
-        F.coalesce(F.max(F.when(F.col("exp_id") == BASELINE, F.col("mean"))), F.min("mean")).alias(
-            "_base"
-        )
-    )
-    compared = _against(means, base)
+    given = F.max(F.when(F.col("exp_id") == BASELINE, F.col("mean")))
+    base = means.agg(F.coalesce(given, F.min("mean"))).scalar()
     return (
-        compared.select(
-            "exp_id", "mean", safe_ratio(F.col("_base"), F.col("mean")).alias("speedup")
-        )
+        means.withColumn("speedup", safe_ratio(base, F.col("mean")))
         .where(F.col("speedup").isNotNull())
         .orderBy(F.desc("speedup"), "exp_id")
     )
@@ -109,15 +99,13 @@ def step_speedups(
         total = total + F.coalesce(F.col(s), F.lit(0.0))
     totals = means.withColumn("_total", total)
     fastest = F.min_by("exp_id", F.struct("_total", "exp_id"))
-    named = totals.agg(_preferred("exp_id", fastest).alias("exp_id"))
-    baseline = means.join(F.broadcast(named), "exp_id").select(
-        *[F.col(s).alias(f"_base_{s}") for s in steps]
-    )
+    name = totals.agg(_preferred("exp_id", fastest)).scalar()
+    baseline = _one_row(means.where(F.col("exp_id") == name).select(*steps))
     place = F.array_position(F.array(*[F.lit(e) for e in order]), F.col("exp_id"))
     return (
-        _against(means, baseline)
+        means.withColumn("_base", baseline)
         .orderBy(F.when(place > 0, place).otherwise(len(order) + 1), "exp_id")
-        .select("exp_id", *[safe_ratio(F.col(f"_base_{s}"), F.col(s)).alias(s) for s in steps])
+        .select("exp_id", *[safe_ratio(F.col("_base")[s], F.col(s)).alias(s) for s in steps])
     )
 
 

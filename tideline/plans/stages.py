@@ -302,11 +302,12 @@ def gauge_metrics(
         ),
         best.select(*[F.col(c).alias(f"best_{c}") for c in best.columns]),
     ]
-    # Each part is a single row.
-    row = parts[0].withColumn("_one", F.lit(1))
+    # Each part is a single row, looked up as such.
+    row = parts[0]
     for part in parts[1:]:
-        row = row.join(F.broadcast(part.withColumn("_one", F.lit(1))), "_one")
-    return row.drop("_one").withColumns(
+        found = row.withColumn("_part", part.select(F.struct("*")).scalar())
+        row = found.select("*", "_part.*").drop("_part")
+    return row.withColumns(
         {
             "num_features": F.lit(len(columns)),
             "features": F.array(*[F.lit(c) for c in columns]),
