@@ -13,8 +13,7 @@ from tideline.settings import EXCLUDED_SYMBOLS
 # Measures of a raw row, columns of a clean one, and the file-name form.
 MEASURES = ("Open", "High", "Low", "Close", "Volume", "Marketcap")
 PANEL_COLUMNS = ("Date", "symbol", *MEASURES)
-BASE_NAME = r"([^/\\]+)$"
-FILE_TOKEN = r"coin_([^.]+)\.csv"
+FILE_TOKEN = r"coin_([^./\\]+)\.csv[^/\\]*$"
 
 
 def name_symbols(raw: DataFrame, file_column: str = "file_name") -> DataFrame:
@@ -22,8 +21,7 @@ def name_symbols(raw: DataFrame, file_column: str = "file_name") -> DataFrame:
 
     A file name without a token gives NULL, so that :func:`drop_incomplete` removes the row.
     """
-    base = F.regexp_extract(file_column, BASE_NAME, 1)
-    token = F.nullif(F.regexp_extract(base, FILE_TOKEN, 1), F.lit(""))
+    token = F.get(F.regexp_extract_all(file_column, F.lit(FILE_TOKEN), F.lit(1)), 0)
     symbol = F.upper(F.coalesce(F.col("Symbol"), token))
     others = [c for c in raw.columns if c.lower() != "symbol"]
     return raw.select(*others, symbol.alias("symbol")).withColumnsRenamed(

@@ -180,24 +180,34 @@ def centroid_means(
     return grouped.agg(*means, F.count(F.lit(1)).alias("n")).orderBy(by)
 
 
-def centre_silhouette(
-    centres: Sequence[Sequence[float]], cluster: Column, columns: Sequence[str] = FEATURES
-) -> Column:
-    """Silhouette against the centres: how much nearer a row is to its own than to the next.
+def with_centre_silhouette(
+    predicted: DataFrame,
+    centres: Sequence[Sequence[float]],
+    prediction: str = "kpred",
+    columns: Sequence[str] = FEATURES,
+) -> DataFrame:
+    """Adds ``silhouette``: how much nearer a row is to its own centre than to the next.
 
     Plain arithmetic on the feature columns, with the few centres as literals.
     """
 
-    def distance(centre: Sequence[float]) -> Column:
-        squares = [F.pow(F.col(c) - F.lit(float(v)), 2) for c, v in zip(columns, centre)]
-        return F.sqrt(sum(squares[1:], squares[0]))
+    def squared_distance(centre: Sequence[float]) -> Column:
+        apart = [F.col(c) - F.lit(float(v)) for c, v in zip(columns, centre)]
+        return sum((d * d for d in apart[1:]), apart[0] * apart[0])
 
-    to_all = F.array(*[distance(c) for c in centres])
-    own = F.get(to_all, cluster)
-    nearest = F.array_min(F.filter(to_all, lambda _, i: i != cluster))
-    other = F.coalesce(nearest, F.lit(0.0))
+    to_centre = {f"_to_{i}": squared_distance(c) for i, c in enumerate(centres)}
+    mine = [F.when(F.col(prediction) == i, F.col(d)) for i, d in enumerate(to_centre)]
+    others = [F.when(F.col(prediction) != i, F.col(d)) for i, d in enumerate(to_centre)]
+    nearest = F.least(*others) if len(centres) > 1 else F.lit(0.0)
+    own, other = F.col("_own"), F.col("_other")
     wider = F.greatest(own, other)
-    return F.when(wider > 0, (other - own) / wider).otherwise(F.lit(0.0))
+    score = F.when(wider > 0, (other - own) / wider).otherwise(F.lit(0.0))
+    return (
+        predicted.withColumns(to_centre)
+        .withColumns({"_own": F.sqrt(F.coalesce(*mine)), "_other": F.sqrt(nearest)})
+        .withColumn("silhouette", score)
+        .drop("_own", "_other", *to_centre)
+    )
 
 
 def silhouette_by_cluster(
@@ -207,9 +217,9 @@ def silhouette_by_cluster(
     columns: Sequence[str] = FEATURES,
 ) -> DataFrame:
     """Rows and mean centre silhouette per cluster."""
-    score = centre_silhouette(centres, F.col(prediction), columns)
     return (
-        predicted.groupBy(prediction)
-        .agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_silhouette"))
+        with_centre_silhouette(predicted, centres, prediction, columns)
+        .groupBy(prediction)
+        .agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("mean_silhouette"))
         .orderBy(prediction)
     )

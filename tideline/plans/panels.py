@@ -96,12 +96,15 @@ def rule_cluster() -> Column:
 RULE_NAMES = {0: BLOWOFF, 1: CALM, 2: SELLOFF, 3: CHOPPY, 4: BULL}
 
 
+def with_rule_labels(features: DataFrame) -> DataFrame:
+    names = F.create_map(*[F.lit(v) for pair in RULE_NAMES.items() for v in pair])
+    clustered = features.withColumn("cluster", rule_cluster())
+    return clustered.withColumn("regime", names[F.col("cluster")])
+
+
 def rule_labels(features: DataFrame, axis: Axis = DAILY) -> DataFrame:
     """Predictions in the form that K-Means labelling writes, from the rule."""
-    names = F.create_map(*[F.lit(v) for pair in RULE_NAMES.items() for v in pair])
-    return features.withColumn("cluster", rule_cluster()).select(
-        axis.time, axis.entity, "cluster", names[F.col("cluster")].alias("regime")
-    )
+    return with_rule_labels(features).select(axis.time, axis.entity, "cluster", "regime")
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,9 +41,8 @@ def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def joined_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels joined with features, each from its own table as in a stored panel."""
-    rows = panels.ship_model_features(spark, sf_dir)
-    return returns.join_features(panels.rule_labels(rows), rows, DAILY)
+    """Features with their labels; made on the same row, they need no join here."""
+    return panels.with_rule_labels(panels.ship_model_features(spark, sf_dir))
 
 
 def forward_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +262,9 @@ def rule_labels(spark, sf_dir):
 
 @query
 def labels_with_features(spark, sf_dir):
-    return joined_of(spark, sf_dir)
+    """Labels joined with features as two tables."""
+    rows = panels.ship_model_features(spark, sf_dir)
+    return returns.join_features(panels.rule_labels(rows), rows, DAILY)
 
 
 @query

@@ -139,7 +139,6 @@ def run_analysis(
     labels = readers.read_panel(spark, predictions).select(
         F.to_date("Date").alias("Date"), "symbol", "cluster", "regime"
     )
-    axis = Axis().measured(labels)
     kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
@@ -147,99 +146,98 @@ def run_analysis(
             kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df
 
-    saved: dict[str, str] = {}
-
-    def save(name: str, result: DataFrame, short: bool = True) -> None:
-        writers.save_result(result, f"{out}/{name}", short)
-        saved[name] = f"{out}/{name}"
-
+    results = writers.Results(out)
     try:
-        keep(labels)
+        axis = Axis().measured(keep(labels))
         if 1 in steps:
             writers.save_json(_manifest(labels), f"{out}/manifest.json")
-            save("regime_counts", transitions.label_counts(labels))
-            save("top_regimes", transitions.top_labels(labels, axis), short=False)
+            results.save("regime_counts", transitions.label_counts(labels))
+            results.save("top_regimes", transitions.top_labels(labels, axis), short=False)
         if 2 in steps:
-            _transition_step(labels, axis, out, save)
+            _transition_step(keep(transitions.with_run_ids(labels, axis)), axis, results)
         if set(steps) & {3, 4, 5, 6, 7}:
-            joined = keep(
-                returns.join_features(labels, readers.read_panel(spark, model_features), axis)
-            )
-            if set(steps) & {3, 4, 7}:
-                forward = keep(returns.with_forward_returns(joined, axis))
+            features_table = readers.read_panel(spark, model_features)
+            joined = keep(returns.join_features(labels, features_table, axis))
+        if set(steps) & {3, 4, 7}:
+            forward = keep(returns.with_forward_returns(joined, axis))
         if 3 in steps:
-            save("returns_overall", returns.returns_by(joined, ["regime"]))
-            save("returns_by_symbol", returns.returns_by(joined, ["symbol", "regime"]), False)
-            save("returns_fwd1_overall", returns.forward_returns_by(forward, ["regime"]))
-            save(
-                "returns_fwd1_by_symbol",
-                returns.forward_returns_by(forward, ["symbol", "regime"]),
-                short=False,
-            )
+            _return_step(joined, forward, results)
         if 4 in steps:
-            save("transitions_fwd1_overall", returns.change_returns(forward))
-            save(
-                "transitions_fwd1_by_symbol",
-                returns.change_returns(forward, ["symbol", "transition"]),
-                short=False,
-            )
-            save("transitions_fwd1_stay_vs_change", returns.stay_or_change_returns(forward))
+            _change_step(forward, results)
         if 5 in steps:
-            daily = breadth.breadth_daily(labels, axis)
-            save("breadth_daily", daily, short=False)
-            with_lead = breadth.breadth_with_lead(
-                spark.read.parquet(f"{out}/breadth_daily"), joined, axis, lead
+            daily = results.save_now(
+                "breadth_daily", breadth.breadth_daily(labels, axis), short=False
             )
-            save("breadth_lead_corr", breadth.lead_correlations(with_lead))
+            with_lead = breadth.breadth_with_lead(daily, joined, axis, lead)
+            results.save("breadth_lead_corr", breadth.lead_correlations(with_lead))
+        results.flush()
         if 6 in steps:
-            _cluster_step(spark, joined, out, save)
+            _cluster_step(spark, joined, results)
         if 7 in steps:
-            labelled = keep(gauge.direction_labels(forward, axis))
+            labelled = gauge.direction_labels(forward, axis)
             if split_mode == "chron":
                 split = gauge.chronological_split(labelled, test_share, split_date, axis)
             else:
                 split = gauge.random_split(labelled, test_share, axis)
-            _gauge_step(spark, *split, balance_classes, out, save)
+            _gauge_step(spark, *split, balance_classes, keep, results)
+        results.flush()
     finally:
         for df in kept:
             df.unpersist()
-    return {name: spark.read.parquet(path) for name, path in saved.items()}
+    return {name: results.read(name, spark) for name in results.names}
 
 
 def _manifest(labels: DataFrame) -> DataFrame:
     return cleaning.panel_summary(labels).withColumn("generated_at", F.current_timestamp())
 
 
-def _transition_step(labels: DataFrame, axis: Axis, out: str, save) -> None:
-    rows = transitions.with_run_ids(labels, axis).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = transitions.transition_counts(rows)
-        save("transitions_counts", counts.orderBy(F.desc("count"), "regime", "regime_next"))
-        # The few count rows just saved feed every table below.
-        saved = labels.sparkSession.read.parquet(f"{out}/transitions_counts")
-        probabilities = transitions.transition_probabilities(saved)
-        save("transitions_prob", probabilities.orderBy("regime", "regime_next"))
-        for name, value in (("matrix_counts", "count"), ("matrix_prob", "prob")):
-            matrix = transitions.transition_matrix(probabilities, value)
-            save(name, matrix.orderBy("regime"))
-        stay = transitions.stay_probabilities(probabilities)
-        save("stay_prob", stay.orderBy("regime"))
-        runs = transitions.run_lengths(rows, axis)
-        save("dwell_overall", transitions.dwell_overall(runs))
-        save("dwell_by_symbol", transitions.dwell_by_entity(runs, axis), short=False)
-    finally:
-        rows.unpersist()
+def _transition_step(rows: DataFrame, axis: Axis, results: writers.Results) -> None:
+    counts = transitions.transition_counts(rows)
+    # The few count rows feed the tables below as saved.
+    saved = results.save_now(
+        "transitions_counts", counts.orderBy(F.desc("count"), "regime", "regime_next")
+    )
+    probabilities = transitions.transition_probabilities(saved)
+    results.save("transitions_prob", probabilities.orderBy("regime", "regime_next"))
+    for name, value in (("matrix_counts", "count"), ("matrix_prob", "prob")):
+        matrix = transitions.transition_matrix(probabilities, value)
+        results.save(name, matrix.orderBy("regime"))
+    stay = transitions.stay_probabilities(probabilities)
+    results.save("stay_prob", stay.orderBy("regime"))
+    runs = transitions.run_lengths(rows, axis)
+    results.save("dwell_overall", transitions.dwell_overall(runs))
+    results.save("dwell_by_symbol", transitions.dwell_by_entity(runs, axis), short=False)
+
+
+def _return_step(joined: DataFrame, forward: DataFrame, results: writers.Results) -> None:
+    by_symbol = ["symbol", "regime"]
+    results.save("returns_overall", returns.returns_by(joined, ["regime"]))
+    results.save("returns_by_symbol", returns.returns_by(joined, by_symbol), short=False)
+    results.save("returns_fwd1_overall", returns.forward_returns_by(forward, ["regime"]))
+    results.save(
+        "returns_fwd1_by_symbol", returns.forward_returns_by(forward, by_symbol), short=False
+    )
 
 
-def _cluster_step(spark: SparkSession, joined: DataFrame, out: str, save) -> None:
+def _change_step(forward: DataFrame, results: writers.Results) -> None:
+    results.save("transitions_fwd1_overall", returns.change_returns(forward))
+    results.save(
+        "transitions_fwd1_by_symbol",
+        returns.change_returns(forward, ["symbol", "transition"]),
+        short=False,
+    )
+    results.save("transitions_fwd1_stay_vs_change", returns.stay_or_change_returns(forward))
+
+
+def _cluster_step(spark: SparkSession, joined: DataFrame, results: writers.Results) -> None:
     columns = cleaning.present_columns(joined, FEATURES)
-    save("step6_cluster_centroids", clusters.centroid_means(joined, "cluster", columns))
-    save("step6_regime_centroids", clusters.centroid_means(joined, "regime", columns))
+    results.save("step6_cluster_centroids", clusters.centroid_means(joined, "cluster", columns))
+    results.save("step6_regime_centroids", clusters.centroid_means(joined, "regime", columns))
     vectors = clusters.assemble(joined.select(*columns), columns)
     fit = clusters.fit_kmeans(vectors, 5, prediction="kpred")
     centres = [[float(v) for v in c] for c in fit.model.clusterCenters()]
-    save("step6_kmeans_centroids", clusters.plain_centroid_table(spark, centres, columns))
-    save(
+    results.save("step6_kmeans_centroids", clusters.plain_centroid_table(spark, centres, columns))
+    results.save(
         "step6_per_cluster_silhouette",
         clusters.silhouette_by_cluster(fit.model.transform(vectors), centres, columns=columns),
     )
@@ -248,7 +246,8 @@ def _cluster_step(spark: SparkSession, joined: DataFrame, out: str, save) -> Non
         "num_features int, features array<string>, kmeans_k int, silhouette_overall double",
     )
     writers.save_json(
-        summary.withColumn("generated_at", F.current_timestamp()), f"{out}/step6_manifest.json"
+        summary.withColumn("generated_at", F.current_timestamp()),
+        f"{results.out}/step6_manifest.json",
     )
 
 
@@ -257,28 +256,24 @@ def _gauge_step(
     train: DataFrame,
     test: DataFrame,
     balance_classes: bool,
-    out: str,
-    save,
+    keep,
+    results: writers.Results,
 ) -> None:
     columns = cleaning.present_columns(train, FEATURES)
     weight = "w" if balance_classes else None
     weighted = gauge.add_class_weights(train, weight) if weight else train
     model = gauge.fit_gauge(weighted, columns, weight)
-    scored = gauge.score(model, test, columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        save("gauge_confusion_default", gauge.confusion(scored))
-        save("gauge_coefficients", gauge.coefficient_table(spark, model, columns))
-        save("gauge_threshold_sweep", gauge.threshold_sweep(scored))
-        sweep = spark.read.parquet(f"{out}/gauge_threshold_sweep")
-        best = gauge.best_threshold(sweep)
-        save("gauge_confusion_best", gauge.confusion_of(best))
-        cells = spark.read.parquet(f"{out}/gauge_confusion_default")
-        roc, pr = gauge.areas(scored)
-        writers.save_json(
-            gauge_metrics(train, scored, cells, best, roc, pr, columns), f"{out}/gauge_metrics.json"
-        )
-    finally:
-        scored.unpersist()
+    scored = keep(gauge.score(model, test, columns))
+    cells = results.save_now("gauge_confusion_default", gauge.confusion(scored))
+    sweep = results.save_now("gauge_threshold_sweep", gauge.threshold_sweep(scored))
+    best = gauge.best_threshold(sweep)
+    results.save("gauge_confusion_best", gauge.confusion_of(best))
+    results.save("gauge_coefficients", gauge.coefficient_table(spark, model, columns))
+    roc, pr = gauge.areas(scored)
+    writers.save_json(
+        gauge_metrics(train, scored, cells, best, roc, pr, columns),
+        f"{results.out}/gauge_metrics.json",
+    )
 
 
 def gauge_metrics(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_panel(
@@ -38,6 +39,40 @@ def save_result(result: DataFrame, base: str, short: bool = True) -> None:
     )
 
 
+class Results:
+    """Named result tables saved under one folder.
+
+    Saving a short table is mostly waiting, so tables that nothing else waits for are saved
+    a few at a time.
+    """
+
+    def __init__(self, out: str, at_once: int = 4) -> None:
+        self.out = out
+        self.at_once = at_once
+        self.names: list[str] = []
+        self._pending: list[tuple[DataFrame, str, bool]] = []
+
+    def save(self, name: str, result: DataFrame, short: bool = True) -> None:
+        """Notes a result, to be saved by :meth:`flush`."""
+        self.names.append(name)
+        self._pending.append((result, f"{self.out}/{name}", short))
+
+    def save_now(self, name: str, result: DataFrame, short: bool = True) -> DataFrame:
+        """Saves a result and returns it as saved."""
+        self.names.append(name)
+        save_result(result, f"{self.out}/{name}", short)
+        return self.read(name, result.sparkSession)
+
+    def flush(self) -> None:
+        pending, self._pending = self._pending, []
+        with ThreadPoolExecutor(self.at_once) as pool:
+            for saving in [pool.submit(save_result, *task) for task in pending]:
+                saving.result()
+
+    def read(self, name: str, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.out}/{name}")
+
+
 def save_csv(result: DataFrame, path: str) -> None:
     """A short result as one headed CSV file."""
     result.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
