@@ -32,7 +32,8 @@ def exact_quantiles(
     The sketch brackets each quantile between two values at most ``4 / accuracy`` of the
     group apart. A second pass counts rows below the bracket and, inside it, rows per
     distinct value; both are combined before the shuffle, so even a group that holds most
-    of the table moves only its brackets. ``few_groups`` says that the groups are a short
+    of the table moves only its brackets, and one task orders at most ``4 / accuracy`` of a
+    group; raise ``accuracy`` where that is still too many. ``few_groups`` says that the groups are a short
     fixed list (labels, feature names), whose brackets may be broadcast.
     """
     by = list(by)

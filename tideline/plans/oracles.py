@@ -10,7 +10,8 @@ SQL: dict[str, str] = {}
 
 def r(expression: str, name: str | None = None) -> str:
     """Rounded column; adding zero turns a negative zero into a positive one."""
-    return f"round({expression}, {DIGITS}) + 0.0 AS {name or expression}"
+    unit = f"CAST(1e{DIGITS} AS DOUBLE)"
+    return f"round_even(({expression}) * {unit}, 0) / {unit} + 0.0 AS {name or expression}"
 
 
 def rounded(*names: str) -> str:
@@ -20,9 +21,9 @@ def rounded(*names: str) -> str:
 BARS = """
 bars AS (
   SELECT CAST(l_shipdate AS DATE) AS "Date", 'S' || CAST(l_suppkey AS VARCHAR) AS symbol,
-         max(round(round(l_extendedprice * 100) / l_quantity)) AS "High",
-         min(round(round(l_extendedprice * 100) / l_quantity)) AS "Low",
-         round(sum(round(l_extendedprice * 100)) / sum(l_quantity)) AS "Close",
+         max(round_even(round(l_extendedprice * 100) / l_quantity, 0)) AS "High",
+         min(round_even(round(l_extendedprice * 100) / l_quantity, 0)) AS "Low",
+         round_even(sum(round(l_extendedprice * 100)) / sum(l_quantity), 0) AS "Close",
          sum(l_quantity) AS "Volume"
   FROM lineitem GROUP BY 1, 2
 )"""
@@ -31,7 +32,7 @@ ORDER_BARS = """
 bars AS (
   SELECT CAST(o_orderdate AS DATE) AS "Date", o_orderpriority AS symbol,
          max(round(o_totalprice * 100)) AS "High", min(round(o_totalprice * 100)) AS "Low",
-         round(sum(round(o_totalprice * 100)) / count(*)) AS "Close",
+         round_even(sum(round(o_totalprice * 100)) / count(*), 0) AS "Close",
          CAST(count(*) AS DOUBLE) AS "Volume"
   FROM orders GROUP BY 1, 2
 )"""
@@ -682,8 +683,8 @@ sql(
 )
 SCORED = LABELLED + f""",
 scored AS (
-  SELECT label, round(1 / (1 + exp(-(CAST(0.4 AS DOUBLE) * zscore_7 - CAST(0.6 AS DOUBLE) * ret_1d_w
-    + CAST(0.05 AS DOUBLE)))), {DIGITS}) AS proba1 FROM labelled
+  SELECT label, round_even(CAST(1e{DIGITS} AS DOUBLE) / (1 + exp(-(CAST(0.4 AS DOUBLE) * zscore_7
+    - CAST(0.6 AS DOUBLE) * ret_1d_w + CAST(0.05 AS DOUBLE)))), 0) / CAST(1e{DIGITS} AS DOUBLE) AS proba1 FROM labelled
 ),
 decided AS (
   SELECT *, CASE WHEN proba1 > CAST(0.5 AS DOUBLE) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction

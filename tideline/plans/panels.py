@@ -22,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ship_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of unit prices per supplier; Close is the mean price weighted by quantity."""
-    cents = F.round(F.col("l_extendedprice") * 100)
-    price = F.round(cents / F.col("l_quantity"))
+    cents = F.rint(F.col("l_extendedprice") * 100)
+    price = F.rint(cents / F.col("l_quantity"))
     symbol = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
     return _bars(
         table(spark, sf_dir, "lineitem").select(
@@ -38,7 +38,7 @@ def ship_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of order prices per priority: five symbols that share the whole table."""
-    cents = F.round(F.col("o_totalprice") * 100)
+    cents = F.rint(F.col("o_totalprice") * 100)
     return _bars(
         table(spark, sf_dir, "orders").select(
             F.to_date("o_orderdate").alias("Date"),
@@ -55,7 +55,7 @@ def _bars(trades: DataFrame) -> DataFrame:
     grouped = trades.groupBy("Date", "symbol").agg(
         F.max("price").alias("High"),
         F.min("price").alias("Low"),
-        F.round(F.sum("cents") / F.sum("quantity")).alias("Close"),
+        F.rint(F.sum("cents") / F.sum("quantity")).alias("Close"),
         F.sum("quantity").alias("Volume"),
     )
     return grouped.select(

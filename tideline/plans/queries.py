@@ -30,7 +30,8 @@ def query(make: Query) -> Query:
     def rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
         result = make(spark, sf_dir)
         doubles = [f.name for f in result.schema.fields if isinstance(f.dataType, T.DoubleType)]
-        return result.withColumns({c: F.round(F.col(f"`{c}`"), DIGITS) for c in doubles})
+        unit = 10.0**DIGITS
+        return result.withColumns({c: F.rint(F.col(f"`{c}`") * unit) / unit for c in doubles})
 
     QUERIES[make.__name__] = rounded
     return make
@@ -743,7 +744,7 @@ def rule_scores(spark, sf_dir) -> DataFrame:
     """Labelled rows with a fixed logistic score in place of a fitted one."""
     z = 0.4 * F.col("zscore_7") - 0.6 * F.col("ret_1d_w") + 0.05
     # Rounded so that both engines see the same scores, and with them the same ties.
-    proba = F.round(1 / (1 + F.exp(-z)), DIGITS)
+    proba = F.rint(10.0**DIGITS / (1 + F.exp(-z))) / 10.0**DIGITS
     scored = labelled_of(spark, sf_dir).select("Date", "symbol", "label", proba.alias("proba1"))
     return scored.withColumn("prediction", (F.col("proba1") > 0.5).cast("double"))
 

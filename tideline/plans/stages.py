@@ -19,15 +19,20 @@ from tideline.settings import (
 from tideline.sources import readers, writers
 
 ALL_STEPS = (1, 2, 3, 4, 5, 6, 7)
+# Folders per symbol suit a few hundred symbols; pass () for panels with many more.
+BY_SYMBOL = ("symbol",)
 
 
 def run_ingest(
-    spark: SparkSession, source: str, out: str, exclude: Iterable[str] = EXCLUDED_SYMBOLS
+    spark: SparkSession,
+    source: str,
+    out: str,
+    exclude: Iterable[str] = EXCLUDED_SYMBOLS,
+    partition_by: Sequence[str] = BY_SYMBOL,
 ) -> DataFrame:
-    """Raw CSV files to the clean panel, partitioned by symbol."""
-    writers.write_panel(
-        cleaning.clean_bars(readers.read_raw_bars(spark, source), exclude), out, ["symbol"]
-    )
+    """Raw CSV files to the clean panel."""
+    raw = readers.read_raw_bars(spark, source)
+    writers.write_panel(cleaning.clean_bars(raw, exclude), out, partition_by)
     return readers.read_panel(spark, out).select(*cleaning.PANEL_COLUMNS)
 
 
@@ -37,13 +42,15 @@ def run_features(
     full_out: str,
     model_out: str,
     settings: FeatureSettings = FeatureSettings(),
+    partition_by: Sequence[str] = BY_SYMBOL,
 ) -> DataFrame:
     """Clean panel to all features, and from those to the rows and columns models use."""
     bars = readers.read_panel(spark, cleaned).select(*cleaning.PANEL_COLUMNS)
     axis = Axis().measured(bars)
-    writers.write_panel(features.bar_features(bars, axis, settings=settings), full_out, ["symbol"])
+    derived = features.bar_features(bars, axis, settings=settings)
+    writers.write_panel(derived, full_out, partition_by)
     full = readers.read_panel(spark, full_out)
-    writers.write_panel(features.model_features(full, axis), model_out, ["symbol"])
+    writers.write_panel(features.model_features(full, axis), model_out, partition_by)
     return readers.read_panel(spark, model_out)
 
 
@@ -66,6 +73,7 @@ def run_regimes(
     ks: Sequence[int] = range(3, 9),
     seed: int = SEED,
     standardize: bool = True,
+    partition_by: Sequence[str] = BY_SYMBOL,
 ) -> DataFrame:
     """K-Means sweep, best model, named centroids, labelled rows and a metrics record."""
     rows = readers.read_panel(spark, model_features)
@@ -87,7 +95,8 @@ def run_regimes(
     predicted = best.model.transform(vectors)
     labelled = predicted.withColumn("regime", clusters.label_clusters(predicted, names))
     path = f"{out}/predictions.parquet"
-    writers.write_panel(labelled.select("Date", "symbol", "cluster", "regime"), path, ["symbol"])
+    written = labelled.select("Date", "symbol", "cluster", "regime")
+    writers.write_panel(written, path, partition_by)
     writers.save_json(
         _regime_metrics(spark, fits, best, names, model_dir, seed, standardize),
         f"{out}/metrics.json",
