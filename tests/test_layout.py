@@ -95,6 +95,22 @@ def test_nothing_is_cut_without_hot_entities(rows):
     assert "Join" not in plan and "Generate" not in plan
 
 
+def test_times_without_zone_keep_their_order_where_clocks_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        local = spark.range(600).selectExpr(
+            "'a' AS key",
+            "timestamp_ntz '2024-03-10 00:00:00' + make_dt_interval(0, 0, 0, id * 25) AS ts",
+            "CAST(id % 7 AS DOUBLE) AS value",
+            "CAST(id % 3 AS STRING) AS regime",
+        )
+        cut = transitions.with_run_ids(local, cut_axis(11))
+        assert table(cut) == table(transitions.with_run_ids(local, WHOLE))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_empty_panel(rows):
     assert table(transitions.with_run_ids(rows.limit(0), cut_axis(1))) == []
 

@@ -165,7 +165,11 @@ def _ticks(df: DataFrame, axis: Axis) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(axis.time)
     if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(axis.time).cast("timestamp"))
+        # Without a time zone, whose clock changes would put rows out of order.
+        time = F.col(axis.time)
+        minutes = F.unix_date(time.cast("date")).cast("bigint") * 1440 + F.hour(time) * 60
+        micros = (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("bigint")
+        return (minutes + F.minute(time)) * 60_000_000 + micros
     return F.col(axis.time).cast("bigint")
 
 

@@ -24,14 +24,25 @@ def get_session(name: str = "tideline", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+# Scratch folders of sessions that name none, by application.
+_private: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder the cluster names; a private one only where none is named, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Shared folder the cluster names; a private one only where none is named, as in tests.
+
+    A private folder serves a local session alone: on a cluster the tables written there would
+    be out of the executors' reach, so that is refused.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    made = tempfile.mkdtemp(prefix="tideline-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _private:
+        _private[context.applicationId] = tempfile.mkdtemp(prefix="tideline-")
+    return _private[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
