@@ -32,9 +32,16 @@ def test_every_query_has_sql_unless_it_fits_a_model():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_against_sql(spark, duck, name):
-    assert differences(QUERIES[name](spark, SMALL), duck, SQL[name]) == ""
+    df = QUERIES[name](spark, SMALL)
+    plan = plan_of(df)
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert differences(df, duck, SQL[name]) == ""
 
 
 def test_sketch_is_near_the_exact_percentiles(spark):
@@ -43,19 +50,6 @@ def test_sketch_is_near_the_exact_percentiles(spark):
     assert near == pytest.approx(exact, abs=1e-3)
 
 
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-RELATIONAL = sorted(n for n in SQL if "roundtrip" not in n and "csv" not in n)
-
-
-@pytest.mark.parametrize("name", RELATIONAL)
-def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
-    plan = plan_of(QUERIES[name](spark, SMALL))
-    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
-
-
 def test_scans_read_only_the_columns_they_need(spark):
     plan = plan_of(QUERIES["anomaly_counts"](spark, SMALL))
     read = [line for line in plan.splitlines() if "ReadSchema" in line]

@@ -112,7 +112,12 @@ def test_analysis(spark, root, predictions, mode, balance):
     metrics = one_json(f"{out}/gauge_metrics.json")
     assert metrics["train_rows"] + metrics["test_rows"] == n - symbols
     assert 0 <= metrics["roc_auc"] <= 1 and metrics["features"] == list(FEATURES)
+    assert len(metrics["threshold_sweep"]) == 9 and len(metrics["coefficients"]) == 6
+    assert sum(metrics["best_confusion"].values()) == metrics["test_rows"] == tested
+    assert metrics["best_f1"] == max(r["f1"] for r in metrics["threshold_sweep"])
     assert one_json(f"{out}/manifest.json")["rows"] == n
+    assert one_json(f"{out}/step2_manifest.json")["ok"] is True
+    assert len(one_json(f"{out}/breadth_lead_corr.json")["corr_frac_vs_lead_fwd1"]) == 5
     assert one_json(f"{out}/step6_manifest.json")["kmeans_k"] == 5
     # Both forms, one file each for short results, and the CSV form reads back the same.
     assert len(glob.glob(f"{out}/matrix_prob/*.parquet")) == 1

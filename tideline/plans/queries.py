@@ -830,11 +830,14 @@ def gauge_threshold_sweep(spark, sf_dir):
 
 @query
 def gauge_metrics(spark, sf_dir):
-    _, train, scored = _gauge_fit(spark, sf_dir)
-    best = gauge.best_threshold(gauge.threshold_sweep(scored))
-    roc, pr = gauge.areas(scored)
-    row = stages.gauge_metrics(train, scored, gauge.confusion(scored), best, roc, pr, FEATURES)
-    return row.drop("generated_at", "features")
+    model, train, scored = _gauge_fit(spark, sf_dir)
+    row = stages.gauge_metrics(
+        train, scored, gauge.confusion(scored), gauge.threshold_sweep(scored),
+        gauge.coefficient_table(spark, model), gauge.areas(scored), FEATURES,
+    )
+    plain = ["train_rows", "test_rows", "test_positive_rate", "brier", "roc_auc", "pr_auc"]
+    plain += [c for c in row.columns if c.endswith("_at_default") or c.startswith("best_")]
+    return row.select(*[c for c in plain if c != "best_confusion"])
 
 
 @query

@@ -163,7 +163,9 @@ def run_analysis(
             results.save("regime_counts", transitions.label_counts(labels))
             results.save("top_regimes", transitions.top_labels(labels, axis), short=False)
         if 2 in steps:
-            _transition_step(keep(transitions.with_run_ids(labels, axis)), axis, results)
+            _transition_step(
+                labels, keep(transitions.with_run_ids(labels, axis)), axis, results
+            )
         if set(steps) & {3, 4, 5, 6, 7}:
             features_table = readers.read_panel(spark, model_features)
             joined = keep(returns.join_features(labels, features_table, axis))
@@ -178,7 +180,12 @@ def run_analysis(
                 "breadth_daily", breadth.breadth_daily(labels, axis), short=False
             )
             with_lead = breadth.breadth_with_lead(daily, joined, axis, lead)
-            results.save("breadth_lead_corr", breadth.lead_correlations(with_lead))
+            found = results.save_now("breadth_lead_corr", breadth.lead_correlations(with_lead))
+            by_share = F.map_from_entries(F.collect_list(F.struct("share", "corr")))
+            writers.save_json(
+                found.agg(by_share.alias("corr_frac_vs_lead_fwd1"), _now()),
+                f"{out}/breadth_lead_corr.json",
+            )
         results.flush()
         if 6 in steps:
             _cluster_step(spark, joined, results)
@@ -196,11 +203,17 @@ def run_analysis(
     return {name: results.read(name, spark) for name in results.names}
 
 
+def _now():
+    return F.current_timestamp().alias("generated_at")
+
+
 def _manifest(labels: DataFrame) -> DataFrame:
-    return cleaning.panel_summary(labels).withColumn("generated_at", F.current_timestamp())
+    return cleaning.panel_summary(labels).select("*", _now())
 
 
-def _transition_step(rows: DataFrame, axis: Axis, results: writers.Results) -> None:
+def _transition_step(
+    labels: DataFrame, rows: DataFrame, axis: Axis, results: writers.Results
+) -> None:
     counts = transitions.transition_counts(rows)
     # The few count rows feed the tables below as saved.
     saved = results.save_now(
@@ -216,6 +229,12 @@ def _transition_step(rows: DataFrame, axis: Axis, results: writers.Results) -> N
     runs = transitions.run_lengths(rows, axis)
     results.save("dwell_overall", transitions.dwell_overall(runs))
     results.save("dwell_by_symbol", transitions.dwell_by_entity(runs, axis), short=False)
+    # Every labelled row is in exactly one run.
+    labelled = labels.agg(F.count(F.lit(1))).scalar()
+    whole = transitions.dwell_conservation(runs).select(
+        (F.col("total_run_len") == labelled).alias("ok"), _now()
+    )
+    writers.save_json(whole, f"{results.out}/step2_manifest.json")
 
 
 def _return_step(joined: DataFrame, forward: DataFrame, results: writers.Results) -> None:
@@ -254,10 +273,7 @@ def _cluster_step(spark: SparkSession, joined: DataFrame, results: writers.Resul
         [(len(columns), columns, fit.k, fit.silhouette)],
         "num_features int, features array<string>, kmeans_k int, silhouette_overall double",
     )
-    writers.save_json(
-        summary.withColumn("generated_at", F.current_timestamp()),
-        f"{results.out}/step6_manifest.json",
-    )
+    writers.save_json(summary.select("*", _now()), f"{results.out}/step6_manifest.json")
 
 
 def _gauge_step(
@@ -275,12 +291,12 @@ def _gauge_step(
     scored = keep(gauge.score(model, test, columns))
     cells = results.save_now("gauge_confusion_default", gauge.confusion(scored))
     sweep = results.save_now("gauge_threshold_sweep", gauge.threshold_sweep(scored))
-    best = gauge.best_threshold(sweep)
-    results.save("gauge_confusion_best", gauge.confusion_of(best))
-    results.save("gauge_coefficients", gauge.coefficient_table(spark, model, columns))
-    roc, pr = gauge.areas(scored)
+    results.save("gauge_confusion_best", gauge.confusion_of(gauge.best_threshold(sweep)))
+    coefficients = gauge.coefficient_table(spark, model, columns)
+    results.save("gauge_coefficients", coefficients)
+    areas = gauge.areas(scored)
     writers.save_json(
-        gauge_metrics(train, scored, cells, best, roc, pr, columns),
+        gauge_metrics(train, scored, cells, sweep, coefficients, areas, columns),
         f"{results.out}/gauge_metrics.json",
     )
 
@@ -289,22 +305,34 @@ def gauge_metrics(
     train: DataFrame,
     scored: DataFrame,
     cells: DataFrame,
-    best: DataFrame,
-    roc: float,
-    pr: float,
+    sweep: DataFrame,
+    coefficients: DataFrame,
+    areas: tuple[float, float],
     columns: Sequence[str],
 ) -> DataFrame:
     """One row with everything measured about a fitted gauge."""
+    best = gauge.best_threshold(sweep)
+    best_names = ("threshold", "f1", "precision", "recall", "accuracy")
+    baselines = gauge.trivial_baselines(scored)
+    at_default = gauge.default_metrics(cells).withColumnRenamed("accuracy", "acc")
     parts = [
         train.agg(F.count(F.lit(1)).alias("train_rows")),
         scored.agg(F.count(F.lit(1)).alias("test_rows")),
-        gauge.trivial_baselines(scored),
+        baselines.select(
+            "test_positive_rate",
+            F.struct(*baselines.columns[1:]).alias("baselines"),
+        ),
         gauge.brier(scored),
-        gauge.probability_quantiles(scored),
-        gauge.default_metrics(cells).select(
-            *[F.col(c).alias(f"{c}_at_default") for c in ("accuracy", "precision", "recall", "f1")]
+        gauge.probability_quantiles(scored).select(F.struct("*").alias("prob_quantiles")),
+        at_default.select(
+            *[F.col(c).alias(f"{c}_at_default") for c in ("acc", "precision", "recall", "f1")]
         ),
-        best.select(*[F.col(c).alias(f"best_{c}") for c in best.columns]),
+        best.select(
+            *[F.col(c).alias(f"best_{c}") for c in best_names],
+            F.struct(*gauge.COUNTS).alias("best_confusion"),
+        ),
+        _as_list(sweep, "threshold_sweep"),
+        _as_list(coefficients, "coefficients"),
     ]
     # Each part is a single row, looked up as such.
     row = parts[0]
@@ -315,9 +343,14 @@ def gauge_metrics(
         {
             "num_features": F.lit(len(columns)),
             "features": F.array(*[F.lit(c) for c in columns]),
-            "roc_auc": F.lit(roc),
-            "pr_auc": F.lit(pr),
+            "roc_auc": F.lit(areas[0]),
+            "pr_auc": F.lit(areas[1]),
             "default_threshold": F.lit(0.5),
             "generated_at": F.current_timestamp(),
         }
     )
+
+
+def _as_list(short: DataFrame, name: str) -> DataFrame:
+    """A table of a few rows as one row with a list of records, in order of its columns."""
+    return short.agg(F.sort_array(F.collect_list(F.struct("*"))).alias(name))
