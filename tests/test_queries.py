@@ -70,3 +70,22 @@ def test_features_shuffle_the_bars_once_for_all_windows(spark):
     main = plan.split("BroadcastExchange")[0].split("BroadcastHashJoin")
     # Above the lookup of the bounds there is no exchange: the second windows reuse the first layout.
     assert "Exchange" not in main[0]
+
+
+def test_entry_is_the_model_features(spark):
+    from __spark_entry__ import entry
+
+    df = entry(spark)
+    assert df.columns == ["Date", "symbol", *queries.FEATURES] and not df.isEmpty()
+
+
+def test_fitted_queries_keep_their_laws(spark):
+    metrics = QUERIES["gauge_metrics"](spark, SMALL).first()
+    rows = QUERIES["direction_labels"](spark, SMALL).count()
+    assert metrics["train_rows"] + metrics["test_rows"] == rows
+    assert 0 <= metrics["roc_auc"] <= 1 and 0 <= metrics["brier"] <= 1
+    labelled = QUERIES["kmeans_predictions"](spark, SMALL)
+    assert labelled.count() == QUERIES["features_model"](spark, SMALL).count()
+    scores = QUERIES["kmeans_silhouettes"](spark, SMALL).collect()
+    assert all(-1 <= r["mean_silhouette"] <= 1 for r in scores)
+    assert sum(r["n"] for r in scores) == labelled.count()
