@@ -58,3 +58,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a table below the scratch folder; no other path is touched."""
+    if not path.startswith(f"{scratch_root(spark)}/tideline/"):
+        raise ValueError(f"not a scratch table: {path}")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).delete(place, True)
