@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import rank_bpe, simhash_index
+from tideline.llm import rank_bpe, simhash_index, token_packing
 from tideline.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,8 @@ def op4_simhash(spark, sf_dir):
 @query
 def op8_bpe(spark, sf_dir):
     return rank_bpe.digests(load(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark, sf_dir):
+    return token_packing.pack_documents(load(spark, sf_dir, "documents"))
