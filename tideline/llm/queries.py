@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import rank_bpe, simhash_index, token_packing
+from tideline.llm import personal_data, rank_bpe, simhash_index, token_packing
 from tideline.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,12 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return make
 
 
+@query
+def op3_personal_data(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return personal_data.detect(docs, personal_data.train(docs))
+
+
 @query
 def op4_simhash(spark, sf_dir):
     found = simhash_index.near_copies(load(spark, sf_dir, "documents"))
