@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import personal_data, rank_bpe, simhash_index, token_packing
+from tideline.llm import personal_data, rank_bpe, rule_quality, simhash_index, token_packing
 from tideline.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,12 @@ def op4_simhash(spark, sf_dir):
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@query
+def op7_quality(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return rule_quality.scores(docs, rule_quality.train(docs, load(spark, sf_dir, "labels")))
+
+
 @query
 def op8_bpe(spark, sf_dir):
     return rank_bpe.digests(load(spark, sf_dir, "documents"))
