@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import personal_data, rank_bpe, rule_quality, simhash_index, token_packing
+from tideline.llm import personal_data, rank_bpe, rule_quality, simhash_index, suffix_radix, token_packing
 from tideline.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return make
 
 
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_radix.digests(load(spark, sf_dir, "documents"))
+
+
 @query
 def op3_personal_data(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
