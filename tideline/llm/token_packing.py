@@ -66,7 +66,7 @@ class WordIds:
         except KeyError:
             if len(known) > WORDS:
                 known.clear()
-        own = self._learn(set(words) - known.keys(), coding)
+        own = self._learn({w for w in words if w not in known}, coding)
         return b"".join([own[w] if w in own else known[w] for w in words])
 
     def _learn(self, words: set[bytes], coding: str) -> dict[bytes, bytes]:
@@ -75,7 +75,7 @@ class WordIds:
         for word in words:
             split = _WORD_AND_MARKS.fullmatch(word) if coding == "latin-1" else None
             parts[word] = split.groups() if split else (word,)
-        new = list({p for pair in parts.values() for p in pair} - known.keys())
+        new = list({p for pair in parts.values() for p in pair if p not in known})
         encoded = self.tokenizer.encode_batch_fast([p.decode(coding) for p in new], add_special_tokens=False)
         found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded)}
         ids = {w: b"".join([found[p] if p in found else known[p] for p in ps]) for w, ps in parts.items()}
