@@ -20,12 +20,14 @@ from tideline.llm.tables import Stored
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID = 2048, 0
 #: Words whose ids a task remembers, and the longest of them; both bound its memory.
-WORDS, WORD_BYTES = 500_000, 64
+WORDS, WORD_BYTES = 1_000_000, 64
 #: Rows of one size that are numbered in one task, about.
 BUCKET_ROWS = 10_000
 
-#: Letters with nothing but ASCII marks after them, without the apostrophe that contractions have.
-_WORD_AND_MARKS = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)".encode("latin-1"))
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+#: Letters and then ASCII marks, without the apostrophe that contractions have: each is a word of
+#: the tokenizer's own.
+_WORD_AND_MARKS = re.compile(f"([{_LETTERS}]*)([!-&(-/:-@\\[-`{{-~]*)".encode("latin-1"))
 
 
 @functools.lru_cache(maxsize=2)
@@ -47,6 +49,8 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        bytewise = self.tokenizer.pre_tokenizer[1].pre_tokenize_str
+        self.bytewise = str.maketrans({c: bytewise(c)[0][0] for c in _LETTERS[26:]})
         self.known: dict[str, dict[bytes, bytes]] = {"latin-1": {}, "utf-8": {}}
 
     def __call__(self, text: str | None) -> bytes:
@@ -70,17 +74,34 @@ class WordIds:
         return b"".join([own[w] if w in own else known[w] for w in words])
 
     def _learn(self, words: set[bytes], coding: str) -> dict[bytes, bytes]:
-        """Ids of unknown words; long ones are returned only."""
-        known, parts = self.known[coding], {}
+        """Ids of unknown words; long ones are not remembered."""
+        known, merges, own, other = self.known[coding], self.tokenizer.model.tokenize, {}, []
         for word in words:
             split = _WORD_AND_MARKS.fullmatch(word) if coding == "latin-1" else None
-            parts[word] = split.groups() if split else (word,)
-        new = list({p for pair in parts.values() for p in pair if p not in known})
-        encoded = self.tokenizer.encode_batch_fast([p.decode(coding) for p in new], add_special_tokens=False)
-        found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded)}
-        ids = {w: b"".join([found[p] if p in found else known[p] for p in ps]) for w, ps in parts.items()}
-        known.update((w, x) for w, x in (found | ids).items() if len(w) <= WORD_BYTES)
-        return {w: x for w, x in ids.items() if len(w) > WORD_BYTES}
+            if not split:
+                other.append(word)
+                continue
+            ids = b""
+            for part in split.groups():
+                found = known.get(part) if part else b""
+                if found is None:
+                    # Nothing is left to normalise or split, so the merges alone give the ids.
+                    tokens = merges(part.decode(coding).translate(self.bytewise))
+                    found = np.array([t.id for t in tokens], "<u4").tobytes()
+                    if len(part) <= WORD_BYTES:
+                        known[part] = found
+                ids += found
+            own[word] = ids
+        encoded = self.tokenizer.encode_batch_fast([w.decode(coding) for w in other], add_special_tokens=False)
+        own.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(other, encoded))
+        known.update((w, x) for w, x in own.items() if len(w) <= WORD_BYTES)
+        return own
+
+
+@functools.lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    """One for all tasks of a worker, which share what it remembers."""
+    return WordIds(path)
 
 
 def token_pieces(
@@ -101,7 +122,7 @@ def token_pieces(
 
     @F.pandas_udf(f"array<struct<{fields}>>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids_of = WordIds(tokenizer)
+        ids_of = _word_ids(tokenizer)
         for batch in batches:
             out = []
             for one in batch:
