@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import personal_data, rank_bpe, rule_quality, simhash_index, suffix_radix, token_packing
+from tideline.llm import (
+    cover_search, lattice_links, personal_data, rank_bpe, rule_quality, simhash_index, suffix_radix, token_packing,
+)
 from tideline.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +27,11 @@ def op1_suffix_dedup(spark, sf_dir):
     return suffix_radix.digests(load(spark, sf_dir, "documents"))
 
 
+@query
+def op2_lattice(spark, sf_dir):
+    return lattice_links.near_vectors(load(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_personal_data(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
@@ -51,3 +58,8 @@ def op8_bpe(spark, sf_dir):
 @query
 def op6_packing(spark, sf_dir):
     return token_packing.pack_documents(load(spark, sf_dir, "documents"))
+
+
+@query
+def op9_cover_search(spark, sf_dir):
+    return cover_search.top_products(load(spark, sf_dir, "embeddings"))
