@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
-    cover_search, lattice_links, personal_data, rank_bpe, rule_quality, simhash_index, suffix_radix, token_packing,
+    cover_search, lattice_links, page_wrappers, personal_data, rank_bpe, rule_quality, simhash_index, suffix_radix,
+    token_packing,
 )
 from tideline.llm.tables import load
 
@@ -63,3 +64,8 @@ def op6_packing(spark, sf_dir):
 @query
 def op9_cover_search(spark, sf_dir):
     return cover_search.top_products(load(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_wrappers(spark, sf_dir):
+    return page_wrappers.page_texts(load(spark, sf_dir, "pages"))
