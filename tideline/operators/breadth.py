@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.functions import safe_correlation, safe_ratio
 from tideline.operators import layout
@@ -86,14 +85,11 @@ def rolling_correlation(
 ) -> DataFrame:
     """Correlation over the last ``rows`` rows of a whole series, NULL unless all are set.
 
-    The series is one group by nature. With one row per calendar day it is short; with one
-    row per timestamp it is laid out in blocks like a hot entity.
+    The series is one group by nature; with more rows than a block it is laid out in blocks like
+    a hot entity.
     """
-    # Not a plain literal, which would turn the lookup of its blocks into a cross join.
-    series = df.withColumn("_series", F.when(F.col(time).isNotNull(), 0))
-    axis = Axis(entity="_series", time=time, **block_size)
-    daily = isinstance(df.schema[time].dataType, T.DateType)
-    axis = axis.bounded() if daily else axis.measured(series)
+    series = df.withColumn("_series", F.lit(0))
+    axis = Axis(entity="_series", time=time, single=True, **block_size).measured(series)
     frame = axis.window().rowsBetween(1 - rows, 0)
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     spread = F.stddev_samp(x).over(frame) * F.stddev_samp(y).over(frame)

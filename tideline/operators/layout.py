@@ -5,23 +5,26 @@ fine for most entities and fatal for one that holds a third of the table. Frames
 here reach a bounded number of rows back or ahead, so a hot entity can be cut into
 blocks along time, each block carrying copies of the few rows just outside it:
 
-1. :meth:`Axis.measured` counts rows per entity; one with more than a block's worth
-   is *hot*. This is one small aggregation per base panel, and its answer holds for
-   every table derived from that panel by dropping rows or adding columns;
-2. slice each hot entity's time span finely and count rows per slice;
+1. :meth:`Axis.measured` counts rows per entity and sketches quantiles of its times; one with
+   more than a block's worth is *hot*. This is one aggregation per base panel, and its answer
+   holds for every table derived from that panel by dropping rows or adding columns;
+2. slice each hot entity at quantiles of its rows, so that neither bursts nor outliers make a
+   slice large, and count rows per slice;
 3. group neighbouring slices into blocks, and note for each slice which other blocks
    need it because they start (or end) within reach;
 4. send each row to its block, plus a copy to each block that needs it.
 
-Windows then run per (entity, block) and copies are dropped. A block holds at least
+Windows then run per (entity, block) and copies are dropped. Rows without a time are an entity's
+first, as in any window; rows without an entity are one entity. A block holds at least
 ``1 / max_blocks`` of the panel, so the two lookup tables have at most ``max_blocks`` hot
-entities and ``(slices_per_block + 1) * max_blocks`` slices whatever the size of the data,
+entities and some ``2 * slices_per_block * max_blocks`` slices whatever the size of the data,
 and are safe to broadcast. Without hot entities none of this enters the plan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -32,6 +35,9 @@ BLOCK = "_block"
 HOME = "_home_block"
 START = "_slice_start"
 SLICE = "_slice"
+#: Quantiles of an entity's times that are kept, a power of two, and the sketch's accuracy.
+QUANTILES, ACCURACY = 256, 4096
+_LATEST = 2**63 - 1
 
 
 @dataclass(frozen=True)
@@ -46,11 +52,14 @@ class Axis:
     time: str = "Date"
     min_block_rows: int = 100_000
     max_block_rows: int = 1_000_000
-    slices_per_block: int = 4
+    slices_per_block: int = 5
     max_blocks: int = 100_000
-    # Set by `measured`: rows per block, and (entity, first time, time span, slices) if hot.
+    # The whole table is one entity, and its column a constant.
+    single: bool = False
+    # Set by `measured`: rows per block, and (entity, bounds of its slices, its last time, how
+    # many slices lie between two bounds) if hot.
     block_rows: int | None = None
-    hot: tuple[tuple[Any, int, int, int], ...] = ()
+    hot: tuple[tuple[Any, tuple[int, ...], int, int], ...] = ()
 
     def window(self) -> WindowSpec:
         """Rows of a block in time order, for a panel laid out by :func:`cut`."""
@@ -72,27 +81,43 @@ class Axis:
         if self.block_rows is not None:
             return self
         tick = _ticks(df, self)
-        entities = df.groupBy(self.entity).agg(
-            F.count(F.lit(1)).alias("rows"), F.min(tick).alias("first"), F.max(tick).alias("last")
-        )
-        seen = entities.agg(F.sum("rows").alias("total"), F.max("rows").alias("most")).first()
-        total = seen["total"] or 0
-        share = total // (4 * df.sparkSession.sparkContext.defaultParallelism)
-        size = max(
-            self.min_block_rows, min(self.max_block_rows, share), -(-total // self.max_blocks)
-        )
-        if (seen["most"] or 0) <= size:
-            return replace(self, block_rows=size)
-        # At most total / size rows, so at most max_blocks of them.
-        hot = tuple(
-            (r[self.entity], r["first"], r["last"] - r["first"] + 1, _slices(r["rows"], size, self))
-            for r in entities.where(F.col("rows") > size).collect()
+        shares = [k / QUANTILES for k in range(QUANTILES)]
+        entities = (
+            df.groupBy(self.entity)
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.percentile_approx(tick, shares, ACCURACY).alias("bounds"),
+                F.max(tick).alias("last"),
+            )
+            .persist()
         )
+        try:
+            seen = entities.agg(F.sum("rows").alias("total"), F.max("rows").alias("most")).first()
+            total = seen["total"] or 0
+            share = total // (4 * df.sparkSession.sparkContext.defaultParallelism)
+            size = max(
+                self.min_block_rows, min(self.max_block_rows, share), -(-total // self.max_blocks)
+            )
+            if (seen["most"] or 0) <= size:
+                return replace(self, block_rows=size)
+            # At most total / size rows, so at most max_blocks of them.
+            hot = tuple(
+                self._sliced(*r, size) for r in entities.where(F.col("rows") > size).collect()
+            )
+        finally:
+            entities.unpersist()
         return replace(self, block_rows=size, hot=hot)
 
-
-def _slices(rows: int, size: int, axis: Axis) -> int:
-    return -(-rows * axis.slices_per_block // size)
+    def _sliced(
+        self, entity: Any, rows: int, bounds: list[int] | None, last: int | None, size: int
+    ) -> tuple[Any, tuple[int, ...], int, int]:
+        wanted = -(-rows * self.slices_per_block // size)
+        parts = 1
+        while parts < min(wanted, QUANTILES):
+            parts *= 2
+        # Without any time there is no order to cut along.
+        kept = tuple(bounds[:: QUANTILES // parts]) if bounds else (0,)
+        return entity, kept, last or 0, -(-wanted // parts)
 
 
 def cut(df: DataFrame, axis: Axis, before: int = 0, after: int = 0) -> DataFrame:
@@ -105,9 +130,12 @@ def cut(df: DataFrame, axis: Axis, before: int = 0, after: int = 0) -> DataFrame
     if not axis.hot:
         return df.withColumns({BLOCK: zero, HOME: zero, START: zero})
     sliced = _add_slice(df, axis)
-    directory = F.broadcast(_block_directory(sliced, axis, before, after))
+    directory = _block_directory(sliced, axis, before, after)
+    keys = [axis.entity, SLICE]
+    if axis.single:
+        directory, keys = directory.drop(axis.entity), [SLICE]
     return (
-        sliced.join(directory, [axis.entity, SLICE], "left")
+        _looked_up(sliced, directory, keys)
         .withColumns({HOME: F.coalesce(HOME, zero), START: F.coalesce(START, zero)})
         .withColumn(BLOCK, F.explode(F.coalesce("_blocks", F.array(zero))))
         .drop(SLICE, "_blocks")
@@ -151,12 +179,21 @@ def add_block_offsets(df: DataFrame, axis: Axis, local: str, out: str) -> DataFr
         .drop("_in_block")
     )
     return (
-        df.join(F.broadcast(offsets), axis.block_keys(), "left")
+        _looked_up(df, offsets, axis.block_keys())
         .withColumn(out, F.col(local) + F.coalesce("_offset", F.lit(0)))
         .drop("_offset")
     )
 
 
+def _looked_up(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the other columns of a small ``table`` of equal keys; NULL equals NULL."""
+    renamed = {k: f"_{k}_of_table" for k in keys}
+    there = table.withColumnsRenamed(renamed)
+    equal = [F.col(k).eqNullSafe(F.col(name)) for k, name in renamed.items()]
+    found = df.join(F.broadcast(there), reduce(Column.__and__, equal), "left")
+    return found.drop(*renamed.values())
+
+
 def _ticks(df: DataFrame, axis: Axis) -> Column:
     """Time as a whole number."""
     kind = df.schema[axis.time].dataType
@@ -174,22 +211,40 @@ def _ticks(df: DataFrame, axis: Axis) -> Column:
 
 
 def _add_slice(df: DataFrame, axis: Axis) -> DataFrame:
-    """Number of the equal time slice a row falls in, NULL for entities that are not hot."""
+    """Number of the slice a row falls in, in the order of time; NULL for entities that are not hot."""
     schema = T.StructType(
         [
             T.StructField(axis.entity, df.schema[axis.entity].dataType),
-            T.StructField("_first", T.LongType()),
-            T.StructField("_span", T.LongType()),
-            T.StructField("_slices", T.LongType()),
+            T.StructField("_bounds", T.ArrayType(T.LongType())),
+            T.StructField("_last", T.LongType()),
+            T.StructField("_parts", T.LongType()),
         ]
     )
-    hot = df.sparkSession.createDataFrame(list(axis.hot), schema)
-    passed = (_ticks(df, axis) - F.col("_first")).cast("double") / F.col("_span")
-    number = F.least(F.floor(passed * F.col("_slices")), F.col("_slices") - 1)
-    return (
-        df.join(F.broadcast(hot), axis.entity, "left")
-        .withColumn(SLICE, number)
-        .drop("_first", "_span", "_slices")
+    padded = [
+        (entity, list(bounds) + [_LATEST] * (QUANTILES - len(bounds)), last, parts)
+        for entity, bounds, last, parts in axis.hot
+    ]
+    if axis.single:
+        _, bounds, last, parts = padded[0]
+        known = {"_bounds": F.lit(bounds), "_last": F.lit(last), "_parts": F.lit(parts)}
+        found = df.withColumns({c: v.cast(schema[c].dataType) for c, v in known.items()})
+    else:
+        found = _looked_up(df, df.sparkSession.createDataFrame(padded, schema), [axis.entity])
+    # Rows without a time come first.
+    tick = F.coalesce(_ticks(df, axis), F.col("_bounds")[0])
+    found = found.withColumn("_tick", tick)
+    steps = [QUANTILES >> k for k in range(1, QUANTILES.bit_length())]
+    # Binary search for the last bound that is not after the row.
+    further = lambda at, step: F.when(F.col("_bounds")[at + step] <= F.col("_tick"), step).otherwise(0)
+    search = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: at + further(at, step))
+    found = found.withColumn("_at", search)
+    low = F.col("_bounds")[F.col("_at")]
+    end = F.least(F.try_element_at("_bounds", F.col("_at") + 2), F.col("_last") + 1)
+    passed = (F.col("_tick") - low).cast("double") / F.greatest(end - low, F.lit(1))
+    part = F.greatest(F.least(F.floor(passed * F.col("_parts")), F.col("_parts") - 1), F.lit(0))
+    number = F.col("_at") * F.col("_parts") + part
+    return found.withColumn(SLICE, F.when(F.col("_parts").isNotNull(), number)).drop(
+        "_bounds", "_last", "_parts", "_tick", "_at"
     )
 
 

@@ -54,21 +54,17 @@ def return_stats(
 def with_forward_returns(
     joined: DataFrame, axis: Axis = Axis(), value: str = "ret_1d_w"
 ) -> DataFrame:
-    """Rows that have a next row in their entity, with its return as ``ret_fwd1`` and the
-    regime of the row before as ``regime_prev`` plus the change flags.
+    """Rows whose next row in their entity has a return, with it as ``ret_fwd1`` and the regime of
+    the row before, among the rows kept, as ``regime_prev`` plus the change flags.
 
-    Both lookups run over one layout of the rows. The row before is looked up among the rows
-    kept; across the cuts of a hot entity that needs returns without NULLs, which model
-    features have by construction and which is enforced here.
+    Each lookup has a layout of its own, since the first decides which rows the second sees;
+    without hot entities both are the same shuffle.
     """
     axis = axis.measured(joined)
-    if axis.hot:
-        hole = F.raise_error(F.lit(f"{value} must not be NULL in an entity cut into blocks"))
-        joined = joined.withColumn(value, F.coalesce(F.col(value), hole.cast("double")))
-    laid = layout.cut(joined, axis, before=1, after=1)
-    w = axis.window()
-    kept = laid.withColumn("ret_fwd1", F.lead(value).over(w)).where(F.col("ret_fwd1").isNotNull())
-    flagged = add_change_flags(kept.withColumn("regime_prev", F.lag("regime").over(w)))
+    ahead = layout.cut(joined, axis, after=1).withColumn("ret_fwd1", F.lead(value).over(axis.window()))
+    kept = layout.home_rows(ahead).where(F.col("ret_fwd1").isNotNull())
+    behind = layout.cut(kept, axis, before=1)
+    flagged = add_change_flags(behind.withColumn("regime_prev", F.lag("regime").over(axis.window())))
     return layout.home_rows(flagged.withColumn("has_prev", F.col("regime_prev").isNotNull()))
 
 
