@@ -60,7 +60,7 @@ def test_plans_are_optimal_on_small_cases(sizes):
 @given(st.dictionaries(st.integers(1, 100), st.integers(0, 500), max_size=40))
 def test_plans_hold_all_items_and_are_no_worse_than_best_fit(counts):
     plain = check_plan(bins.best_fit(counts, 100), counts, 100)
-    best = check_plan(bins.complete(counts, 100, nodes=300), counts, 100)
+    best = check_plan(bins.complete(counts, 100, steps=3000), counts, 100)
     assert bins.lower_bound(counts, 100) <= best <= plain
 
 

@@ -70,25 +70,38 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return done + [(filling, bins) for group in open_.values() for filling, bins in group]
 
 
-def _sums(sizes: list[int], counts: dict[int, int], total: int, items: int) -> Iterator[tuple[int, ...]]:
-    """Choices of at most ``items`` items, largest first, that add up to ``total``."""
-    if not total:
-        yield ()
-        return
+class _Work:
+    """What is left of a search's budget, in steps of its innermost loops."""
+
+    def __init__(self, steps: int):
+        self.left = steps
+
+
+def _sums(
+    sizes: list[int], counts: dict[int, int], total: int, items: int, work: _Work
+) -> Iterator[tuple[int, ...]]:
+    """Choices of just ``items`` items, largest first, that add up to ``total``.
+
+    ``counts`` is as it was whenever a choice is handed out.
+    """
     at = bisect.bisect_right(sizes, total) - 1
-    while at >= 0 and sizes[at] * items >= total:
+    if items == 1:
+        if at >= 0 and sizes[at] == total:
+            yield (total,)
+        return
+    while at >= 0 and sizes[at] * items >= total and work.left > 0:
+        work.left -= 1
         size = sizes[at]
-        if size == total:
-            yield (size,)
-        elif items == 2:
-            if total - size <= size and counts.get(total - size, 0) > (total - size == size):
-                yield (size, total - size)
-        elif items > 2:
+        rest = total - size
+        if items == 2:
+            if 0 < rest <= size and counts.get(rest, 0) > (rest == size):
+                yield (size, rest)
+        elif rest:
             counts[size] -= 1
             below = sizes[: at + 1] if counts[size] else sizes[:at]
-            for rest in _sums(below, counts, total - size, items - 1):
+            for others in _sums(below, counts, rest, items - 1, work):
                 counts[size] += 1
-                yield (size, *rest)
+                yield (size, *others)
                 counts[size] -= 1
             counts[size] += 1
         at -= 1
@@ -115,43 +128,50 @@ def _dominated(chosen: tuple[int, ...], counts: dict[int, int], sizes: list[int]
     )
 
 
-def fillings(counts: dict[int, int], space: int, waste: int, items: int) -> Iterator[tuple[int, ...]]:
+def fillings(
+    counts: dict[int, int], sizes: list[int], space: int, waste: int, items: int, work: _Work
+) -> Iterator[tuple[int, ...]]:
     """Undominated choices for ``space`` that waste at most ``waste``, the least waste and the
-    largest items first. Choices of more than ``items`` items are left to their first items: the
+    largest items first. Choices of more than ``items`` items are left to their first ones: the
     rest of the space goes to the largest items that fit, one after the other.
+
+    ``sizes`` are the sizes there are, in order.
     """
-    sizes = sorted(s for s, n in counts.items() if n and s <= space)
+    sizes = sizes[: bisect.bisect_right(sizes, space)]
     seen = set()
     for lost in range(min(space, waste) + 1):
-        if not sizes and lost < space:
-            continue
-        for many in (1, 2, 3) if items >= 3 else range(1, items + 1):
-            for chosen in _sums(sizes, counts, space - lost, many):
+        if lost == space:
+            if not _dominated((), counts, sizes, lost):
+                yield ()
+            return
+        for many in range(1, items + 1):
+            for chosen in _sums(sizes, counts, space - lost, many, work):
                 if chosen not in seen and not _dominated(chosen, counts, sizes, lost):
                     seen.add(chosen)
                     yield chosen
         if lost == 0:
-            chosen, room, used = [], space, Counter()
+            greedy, room = [], space
             for size in reversed(sizes):
-                take = min(counts[size] - used[size], room // size)
-                chosen += [size] * take
+                take = min(counts[size], room // size)
+                greedy += [size] * take
                 room -= take * size
                 if not room:
                     break
-            greedy = tuple(chosen)
-            if len(greedy) > items and room <= waste and greedy not in seen:
-                seen.add(greedy)
-                yield greedy
+            if len(greedy) > items and room <= waste and tuple(greedy) not in seen:
+                seen.add(tuple(greedy))
+                yield tuple(greedy)
+        if work.left <= 0:
+            return
 
 
 def complete(
-    histogram: dict[int, int], capacity: int, nodes: int = 20_000, width: int = 4, items: int = 3
+    histogram: dict[int, int], capacity: int, steps: int = 1_000_000, width: int = 4, items: int = 3
 ) -> list[Pattern]:
     """Fillings for all items in as few bins as the search finds.
 
-    The result is optimal if its bins reach :func:`lower_bound` or the search ends by itself;
-    after ``nodes`` nodes the best incumbent is taken, at worst the best-fit one. ``width``
-    fillings are tried at a node.
+    The result is optimal if its bins reach :func:`lower_bound` or the search ends by itself, with
+    enough ``width`` (fillings tried at a node) and ``items`` (of a filling besides its largest).
+    After ``steps`` steps the best incumbent is taken, at worst the best-fit one.
     """
     counts = {s: n for s, n in histogram.items() if n}
     if any(s < 1 or s > capacity for s in counts):
@@ -162,27 +182,35 @@ def complete(
     if bins_of(best) <= least:
         return best
 
+    work = _Work(steps)
+    sizes = sorted(counts)
     plan: list[Pattern] = []
-    stack: list[Iterator[tuple[int, ...]]] = []
     lost = 0
 
     def allowed() -> int:
         return (bins_of(best) - 1) * capacity - total - lost
 
+    def change(size: int, by: int) -> None:
+        before = counts[size]
+        counts[size] = before + by
+        if not before:
+            bisect.insort(sizes, size)
+        elif not counts[size]:
+            del sizes[bisect.bisect_left(sizes, size)]
+
     def children() -> Iterator[tuple[int, ...]]:
-        largest = max(s for s, n in counts.items() if n)
-        counts[largest] -= 1
-        found = []
-        for chosen in fillings(counts, capacity - largest, allowed(), items):
-            found.append((largest, *chosen))
-            if len(found) == width:
-                break
-        counts[largest] += 1
-        return iter(found)
-
-    stack.append(children())
-    while stack and nodes:
-        nodes -= 1
+        # Whenever a child is asked for, the counts are those of this node again.
+        largest = sizes[-1]
+        change(largest, -1)
+        for _, chosen in zip(range(width), fillings(counts, sizes, capacity - largest, allowed(), items, work)):
+            change(largest, 1)
+            yield (largest, *chosen)
+            change(largest, -1)
+        change(largest, 1)
+
+    stack = [children()]
+    while stack and work.left > 0:
+        work.left -= 1
         chosen = next(stack[-1], None)
         if chosen is None:
             stack.pop()
@@ -190,7 +218,7 @@ def complete(
                 filling, bins = plan.pop()
                 lost -= bins * (capacity - sum(s * k for s, k in filling))
                 for size, each in filling:
-                    counts[size] = counts.get(size, 0) + bins * each
+                    change(size, bins * each)
             continue
         filling = tuple(sorted(Counter(chosen).items(), reverse=True))
         waste = capacity - sum(chosen)
@@ -200,15 +228,15 @@ def complete(
         if bins < 1:
             continue
         for size, each in filling:
-            counts[size] -= bins * each
+            change(size, -bins * each)
         plan.append((filling, bins))
         lost += bins * waste
-        if any(counts.values()):
+        if not sizes:
+            if bins_of(plan) < bins_of(best):
+                best = list(plan)
+                if bins_of(best) <= least:
+                    return best
+            stack.append(iter(()))
+        else:
             stack.append(children())
-            continue
-        if bins_of(plan) < bins_of(best):
-            best = list(plan)
-            if bins_of(best) <= least:
-                return best
-        stack.append(iter(()))
     return best

@@ -156,7 +156,7 @@ def _slots(plan: list[bin_completion.Pattern]) -> dict[str, np.ndarray]:
     return dict(zip(names, np.array(rows or np.empty((0, 5)), np.int64).T))
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length", nodes: int = 20_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length", steps: int = 1_000_000) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: where each of them goes.
 
     Sequences have no gaps, and no more than ``capacity`` tokens. The driver gets the number of
@@ -166,7 +166,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length", no
     gives an empty one. Rows that are alike may change places.
     """
     histogram = {r[0]: r[1] for r in pieces.groupBy(length).count().collect()}
-    slots = _slots(bin_completion.complete(histogram, capacity, nodes))
+    slots = _slots(bin_completion.complete(histogram, capacity, steps))
     buckets = max(1, -(-sum(histogram.values()) // BUCKET_ROWS))
     named = [F.col(f"`{c}`").cast("string") for c, kind in pieces.dtypes if not kind.startswith(("array", "map"))]
     key = F.xxhash64(*named)
