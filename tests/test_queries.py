@@ -64,12 +64,14 @@ def test_filter_on_one_symbol_passes_the_windows(spark):
     assert "= S1" in below
 
 
-def test_features_shuffle_the_bars_once_for_all_windows(spark):
-    bars = panels.ship_bars(spark, SMALL)
-    plan = plan_of(queries.features.bar_features(bars, panels.DAILY))
-    main = plan.split("BroadcastExchange")[0].split("BroadcastHashJoin")
-    # Above the lookup of the bounds there is no exchange: the second windows reuse the first layout.
-    assert "Exchange" not in main[0]
+@pytest.mark.parametrize("name", ["features_full", "features_model", "features_simple_returns"])
+def test_features_read_and_lay_out_the_bars_once(spark, name):
+    df = QUERIES[name](spark, SMALL)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+    # One exchange makes the daily bars, one lays them out for all windows.
+    assert final.count("Exchange hashpartitioning") == 2 and "Join" not in final
 
 
 def test_entry_is_the_model_features(spark):

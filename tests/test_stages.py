@@ -69,8 +69,13 @@ def test_panel_is_partitioned_by_symbol(root):
 
 
 def test_diagnostics(spark, root, features):
-    saved = stages.run_diagnostics(spark, f"{root}/model", f"{root}/diagnostics")
-    assert set(saved) == {"anomaly_counts_by_coin", "anomaly_counts_by_date", "vol30_summary"}
+    day = spark.read.parquet(f"{root}/model").agg({"Date": "max"}).first()[0]
+    saved = stages.run_diagnostics(spark, f"{root}/model", f"{root}/diagnostics", event_day=day)
+    assert set(saved) == {
+        "anomaly_counts_by_coin", "anomaly_counts_by_date", "vol30_summary", "feature_percentiles",
+        "widespread_down_days", "event_day",
+    }
+    assert saved["event_day"].count() == 1 and saved["feature_percentiles"].count() == 6
     assert saved["vol30_summary"].count() == len(SYMBOLS)
 
 
@@ -93,6 +98,10 @@ def test_analysis(spark, root, predictions, mode, balance):
         f"{root}/model", out, "all", split_mode=mode, balance_classes=balance, lead="AAA",
     )
     n, symbols = predictions.count(), len(SYMBOLS)
+    assert {r.symbol for r in saved["symbols"].collect()} == set(SYMBOLS)
+    assert one_json(f"{out}/manifest.json")["symbols_table"] == "symbols"
+    assert saved["breadth_conservation"].first()["bad_dates"] == 0
+    assert saved["change_tallies"].first()["rows_with_prev"] == n - 2 * symbols
     total = lambda name, column: saved[name].agg({column: "sum"}).first()[0]
     assert total("regime_counts", "count") == n
     assert total("transitions_counts", "count") == n - symbols

@@ -59,8 +59,8 @@ def fit_kmeans(
     silhouette = ClusteringEvaluator(
         featuresCol=column, predictionCol=prediction, distanceMeasure="squaredEuclidean"
     ).evaluate(predicted)
-    counted = predicted.groupBy(prediction).agg(F.count(F.lit(1)).alias("n")).collect()
-    return Fit(k, model, float(silhouette), {r[prediction]: r["n"] for r in sorted(counted)})
+    sizes = {c: n for c, n in enumerate(model.summary.clusterSizes) if n}
+    return Fit(k, model, float(silhouette), sizes)
 
 
 def fit_sweep(

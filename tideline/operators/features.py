@@ -27,7 +27,8 @@ def bar_features(
 
     Frames count rows, not days. Trailing statistics leave the current row out; moving
     averages include it and accept short frames. One shuffle of the bars, by (entity,
-    block), serves both rounds of windows and the lookup of the winsor bounds.
+    block), serves all windows, the winsor bounds among them. Only where an entity is cut into
+    blocks are its bounds aggregated apart, which reads the bars a second time.
     """
     axis = axis.measured(bars)
     # The longest trailing frame needs returns, and each return one price more.
@@ -81,10 +82,17 @@ def winsor_bounds(laid: DataFrame, axis: Axis, settings: FeatureSettings) -> Dat
 
 
 def add_winsor(laid: DataFrame, axis: Axis, settings: FeatureSettings) -> DataFrame:
-    bounds = winsor_bounds(laid, axis, settings)
-    return laid.join(bounds, axis.block_keys(), "left").withColumn(
-        "ret_1d_w", clamp(F.col("ret_1d"), F.col("q_lo"), F.col("q_hi"))
-    )
+    if axis.hot:
+        joined = layout.looked_up(laid, winsor_bounds(laid, axis, settings), axis.block_keys(), small=False)
+    else:
+        shares = [settings.winsor_low, settings.winsor_high]
+        whole = F.percentile_approx("ret_1d", shares, settings.accuracy).over(axis.group())
+        joined = (
+            laid.withColumn("_bounds", whole)
+            .withColumns({"q_lo": F.col("_bounds")[0], "q_hi": F.col("_bounds")[1]})
+            .drop("_bounds")
+        )
+    return joined.withColumn("ret_1d_w", clamp(F.col("ret_1d"), F.col("q_lo"), F.col("q_hi")))
 
 
 def add_zscores(laid: DataFrame, axis: Axis, price: str, settings: FeatureSettings) -> DataFrame:

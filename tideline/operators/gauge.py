@@ -10,6 +10,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import epoch_seconds, positive_probability
 from tideline.operators.cleaning import present_columns
@@ -35,12 +36,15 @@ def direction_labels_of(joined: DataFrame, axis: Axis = Axis()) -> DataFrame:
     return direction_labels(with_forward_returns(joined, axis), axis)
 
 
-def split_bucket(*keys: str) -> Column:
+def split_bucket(rows: DataFrame, *keys: str) -> Column:
     """A number below ``SPLIT_BUCKETS`` that depends on the key alone.
 
-    The same row always falls on the same side, however the data are partitioned.
+    The same row always falls on the same side, however the data are partitioned and whatever
+    the session's time zone: an instant counts by its microseconds, not by its text.
     """
-    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    instants = {f.name for f in rows.schema if isinstance(f.dataType, T.TimestampType)}
+    plain = [F.unix_micros(k) if k in instants else F.col(k) for k in keys]
+    digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in plain]))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % SPLIT_BUCKETS
 
 
@@ -48,7 +52,7 @@ def random_split(
     labelled: DataFrame, test_share: float = 0.2, axis: Axis = Axis()
 ) -> tuple[DataFrame, DataFrame]:
     """Training and test rows by a hash of the key."""
-    test = split_bucket(axis.entity, axis.time) < round(test_share * SPLIT_BUCKETS)
+    test = split_bucket(labelled, axis.entity, axis.time) < round(test_share * SPLIT_BUCKETS)
     return labelled.where(~test), labelled.where(test)
 
 
@@ -213,18 +217,30 @@ def probability_quantiles(scored: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
+BASELINES = ("acc_majority", "f1_always_positive", "f1_always_negative", "f1_trivial_best")
+
+
+def _baselines() -> list[Column]:
+    known = F.coalesce("test_positive_rate", F.lit(0.5))
+    always_up = F.when(known > 0, 2 * known / (1 + known)).otherwise(F.lit(0.0))
+    values = (F.greatest(known, 1.0 - known), always_up, F.lit(0.0), always_up)
+    return [value.alias(name) for value, name in zip(values, BASELINES)]
+
+
 def trivial_baselines(test: DataFrame) -> DataFrame:
     """What always guessing the majority, or always guessing up, would score."""
-    share = F.col("test_positive_rate")
-    known = F.coalesce(share, F.lit(0.5))
-    always_up = F.when(known > 0, 2 * known / (1 + known)).otherwise(F.lit(0.0))
-    return test.agg(F.avg("label").alias("test_positive_rate")).select(
-        "test_positive_rate",
-        F.greatest(known, 1.0 - known).alias("acc_majority"),
-        always_up.alias("f1_always_positive"),
-        F.lit(0.0).alias("f1_always_negative"),
-        always_up.alias("f1_trivial_best"),
-    )
+    rate = test.agg(F.avg("label").alias("test_positive_rate"))
+    return rate.select("test_positive_rate", *_baselines())
+
+
+def score_summary(scored: DataFrame) -> DataFrame:
+    """Rows, baselines, Brier score and score quantiles in one pass."""
+    return scored.agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.avg("label").alias("test_positive_rate"),
+        F.avg(F.pow(F.col("proba1") - F.col("label"), 2)).alias("brier"),
+        *[sketch_quantile("proba1", p).alias(n) for n, p in PROBABILITY_QUANTILES.items()],
+    ).select("*", *_baselines())
 
 
 def areas(

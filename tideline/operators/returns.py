@@ -26,12 +26,17 @@ def join_features(labels: DataFrame, features: DataFrame, axis: Axis = Axis()) -
 
 
 def return_stats(
-    df: DataFrame, value: str, by: Sequence[str], suffix: str = "", exact_median: bool = False
+    df: DataFrame,
+    value: str,
+    by: Sequence[str],
+    suffix: str = "",
+    exact_median: bool = False,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Count, mean, median, deviation, share of gains and Sharpe ratio of ``value`` per group.
 
-    The median comes from the one-pass sketch unless ``exact_median``, which is meant for
-    groups that are a short list of labels.
+    The median comes from the one-pass sketch unless ``exact_median``. ``few_groups`` states that
+    the groups are a short fixed list, such as labels, whose medians' brackets may be broadcast.
     """
     mean, median, std = f"mean_ret{suffix}", f"median_ret{suffix}", f"std_ret{suffix}"
     stats = df.groupBy(*by).agg(
@@ -43,7 +48,7 @@ def return_stats(
     )
     if exact_median:
         stats = stats.join(
-            exact_quantiles(df, by, value, {median: 0.5}, few_groups=True), list(by), "left"
+            exact_quantiles(df, by, value, {median: 0.5}, few_groups=few_groups), list(by), "left"
         )
     sharpe = F.when(F.col(std) > 0, F.col(mean) / F.col(std))
     return stats.select(

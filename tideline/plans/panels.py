@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.features import bar_features, model_features
+from tideline.operators.clusters import label_clusters
 from tideline.operators.layout import Axis
 from tideline.settings import BLOWOFF, BULL, CALM, CHOPPY, SELLOFF
 
@@ -97,9 +98,8 @@ RULE_NAMES = {0: BLOWOFF, 1: CALM, 2: SELLOFF, 3: CHOPPY, 4: BULL}
 
 
 def with_rule_labels(features: DataFrame) -> DataFrame:
-    names = F.create_map(*[F.lit(v) for pair in RULE_NAMES.items() for v in pair])
     clustered = features.withColumn("cluster", rule_cluster())
-    return clustered.withColumn("regime", names[F.col("cluster")])
+    return clustered.withColumn("regime", label_clusters(clustered, RULE_NAMES))
 
 
 def rule_labels(features: DataFrame, axis: Axis = DAILY) -> DataFrame:

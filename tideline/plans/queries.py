@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.clustering import KMeansModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions import positive_probability
 from tideline.operators import (
     breadth, cleaning, clusters, diagnostics, features, gauge, reshape, returns, runs, transitions,
 )
@@ -87,6 +90,17 @@ def panel_roundtrip(spark, sf_dir):
     return readers.read_panel(spark, path).select(*cleaning.PANEL_COLUMNS)
 
 
+@query
+def panel_roundtrip_numeric_symbols(spark, sf_dir):
+    """Symbols that look like numbers, with and without leading zeros, keep their text."""
+    path = scratch_path(spark, "panel")
+    number = F.substring("symbol", 2, 20)
+    padded = F.when(F.dayofmonth("Date") % 2 == 0, F.lpad(number, 5, "0")).otherwise(number)
+    bars = panels.ship_bars(spark, sf_dir).withColumn("symbol", padded)
+    writers.write_panel(bars, path, ["symbol"])
+    return readers.read_panel(spark, path).select(*cleaning.PANEL_COLUMNS)
+
+
 @query
 def result_roundtrip(spark, sf_dir):
     """Both forms of a saved result, read back through the result scan."""
@@ -335,10 +349,9 @@ def matrix_row_sums(spark, sf_dir):
 
 @query
 def matrix_dense(spark, sf_dir):
-    """The matrix without one row and one column, put back in full."""
+    """The matrix over one label more than the data have, in full."""
     matrix = transitions.transition_matrix(probabilities_of(spark, sf_dir), "prob")
-    partial = matrix.where(F.col("regime") != REGIMES[4]).drop(REGIMES[3])
-    return reshape.dense_matrix(partial)
+    return reshape.dense_matrix(matrix, [*REGIMES, "Unknown"])
 
 
 @query
@@ -381,9 +394,9 @@ def dwell_conservation(spark, sf_dir):
 
 @query
 def dwell_in_label_order(spark, sf_dir):
-    """Dwell statistics without one regime, put back in list order with NULLs."""
+    """Dwell statistics in list order, with NULLs for a label that the data lack."""
     dwell = transitions.dwell_overall(lengths_of(spark, sf_dir), exact=True)
-    return reshape.in_label_order(dwell.where(F.col("regime") != REGIMES[0]))
+    return reshape.in_label_order(dwell, ["Unknown", *REGIMES])
 
 
 def _tick_labels(spark, sf_dir) -> tuple[DataFrame, Axis]:
@@ -422,6 +435,34 @@ def ticks_forward_returns(spark, sf_dir):
     return returns.forward_returns_by(forward.where("has_prev"), ["regime"], exact_median=True)
 
 
+@query
+def ticks_null_returns(spark, sf_dir):
+    """Forward rows where some returns are missing: the row before is one that was kept."""
+    rows = panels.table(spark, sf_dir, "events")
+    regime = F.when(F.col("value") < 20, REGIMES[0]).when(F.col("value") < 60, REGIMES[1])
+    labels = rows.select(
+        "event_id", "event_type", "ts", regime.otherwise(REGIMES[2]).alias("regime"),
+        F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"),
+    )
+    forward = returns.with_forward_returns(labels, TICKS.measured(labels), value="value")
+    return forward.select("event_id", "regime", "regime_prev", "ret_fwd1", "has_prev", "is_transition")
+
+
+@query
+def ticks_null_times(spark, sf_dir):
+    """Run ids where each type's first event has no time and a third of the events no type."""
+    rows = panels.table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type")
+    regime = F.when(F.col("value") < 20, REGIMES[0]).otherwise(REGIMES[1]).alias("regime")
+    known = rows.select("event_id", kind, "ts", regime)
+    first = known.groupBy(F.col("event_type").alias("of")).agg(F.min("event_id").alias("first"))
+    holed = known.join(first, F.col("event_type").eqNullSafe(F.col("of"))).select(
+        "event_id", "event_type", "regime", F.when(F.col("event_id") != F.col("first"), F.col("ts")).alias("ts")
+    )
+    found = transitions.with_run_ids(holed, TICKS.measured(holed))
+    return found.select("event_id", "regime", "regime_next", "regime_prev", "regime_group_id")
+
+
 @query
 def ticks_rolling_correlation(spark, sf_dir):
     """Rolling correlation along the whole event stream, one series cut into blocks."""
@@ -499,7 +540,7 @@ def top_changes(spark, sf_dir):
 @query
 def returns_in_label_order(spark, sf_dir):
     stats = returns.returns_by(joined_of(spark, sf_dir), ["regime"], exact_median=True)
-    return reshape.in_label_order(stats.where(F.col("regime") != REGIMES[1]))
+    return reshape.in_label_order(stats, ["Unknown", *REGIMES])
 
 
 # --- breadth ------------------------------------------------------------------------------
@@ -523,7 +564,8 @@ def breadth_with_lead(spark, sf_dir):
 
 @query
 def breadth_conservation(spark, sf_dir):
-    return breadth.breadth_conservation(with_lead_of(spark, sf_dir))
+    """On all dates, not only those of the lead."""
+    return breadth.breadth_conservation(breadth.breadth_daily(labels_of(spark, sf_dir), DAILY))
 
 
 @query
@@ -601,13 +643,10 @@ def regime_names(spark, sf_dir):
 
 @query
 def regime_names_three(spark, sf_dir):
-    """The same for three clusters, where fewer than five names are given."""
+    """The same for three clusters of all rows, where fewer than five names are given."""
     scaled, scaler = _scaled(spark, sf_dir)
-    centres = {
-        r["cluster"]: clusters.unscaled(r[1:], scaler)
-        for r in _means_by_cluster(scaled)
-        if r["cluster"] < 3
-    }
+    merged = scaled.withColumn("cluster", F.col("cluster") % 3)
+    centres = {r["cluster"]: clusters.unscaled(r[1:], scaler) for r in _means_by_cluster(merged)}
     rows = sorted(clusters.name_regimes(centres).items())
     return spark.createDataFrame(rows, "cluster int, regime string")
 
@@ -673,6 +712,68 @@ def _plain_fit(spark, sf_dir):
     return vectors, fit, [list(c) for c in fit.model.clusterCenters()]
 
 
+def _nearest(column: str, centres) -> Column:
+    """Number of the nearest centre, the first of equal ones."""
+    values = vector_to_array(F.col(column))
+    apart = [
+        sum(((values[i] - F.lit(float(v))) ** 2 for i, v in enumerate(centre)), F.lit(0.0)) for centre in centres
+    ]
+    return F.array_position(F.array(*apart), F.array_min(F.array(*apart))).cast("int") - 1
+
+
+@query
+def kmeans_sweep_laws(spark, sf_dir):
+    """Per k: the sizes add up to all rows, and no row is nearer to another centre."""
+    scaled, _, fits = _regime_fit(spark, sf_dir, range(3, 9))
+    found = []
+    for fit in fits:
+        strays = fit.model.transform(scaled).where(
+            F.col("cluster") != _nearest(clusters.SCALED, fit.model.clusterCenters())
+        )
+        rows = F.lit(sum(fit.sizes.values())).cast("bigint").alias("rows")
+        between = F.lit(-1 <= fit.silhouette <= 1).alias("silhouette_in_range")
+        found.append(strays.agg(F.lit(fit.k).alias("k"), rows, F.count("*").alias("strays"), between))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def kmeans_saved_laws(spark, sf_dir):
+    """A model that was saved and loaded again puts no row in another cluster."""
+    scaled, _, fits = _regime_fit(spark, sf_dir, [4])
+    path = scratch_path(spark, "model")
+    writers.save_model(fits[0].model, path)
+    loaded = KMeansModel.load(path).setPredictionCol("again")
+    both = loaded.transform(fits[0].model.transform(scaled))
+    return both.agg(
+        F.count("*").alias("rows"), F.count_if(F.col("cluster") != F.col("again")).alias("moved")
+    )
+
+
+@query
+def kmeans_label_laws(spark, sf_dir):
+    """Every row is labelled, by one name per cluster."""
+    named = kmeans_predictions(spark, sf_dir).groupBy("cluster", "regime").agg(F.count("*").alias("n"))
+    return named.agg(
+        F.sum("n").alias("rows"), F.count_distinct("cluster").alias("clusters"),
+        F.count("*").alias("pairs"), F.count_if(F.col("regime") == "Unknown").alias("unnamed"),
+    )
+
+
+@query
+def kmeans_unscaled_laws(spark, sf_dir):
+    vectors, fit, centres = _plain_fit(spark, sf_dir)
+    strays = F.col("kpred") != _nearest(clusters.RAW, centres)
+    return fit.model.transform(vectors).agg(F.count("*").alias("rows"), F.count_if(strays).alias("strays"))
+
+
+@query
+def centroid_csv_roundtrip(spark, sf_dir):
+    """A centroid table as one CSV file, read back."""
+    path = scratch_path(spark, "centroids")
+    writers.save_csv(clusters.centroid_means(joined_of(spark, sf_dir), "cluster"), path)
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
 @query
 def kmeans_unscaled_centroids(spark, sf_dir):
     _, _, centres = _plain_fit(spark, sf_dir)
@@ -804,6 +905,35 @@ def _gauge_fit(spark, sf_dir, balanced: bool = False):
     return model, train, gauge.score(model, test)
 
 
+@query
+def gauge_laws(spark, sf_dir):
+    """A fit without penalty has no gradient left: predictions and labels agree on average, also
+    when weighed by any feature. Averages are rounded to what the optimiser promises."""
+    model, train, _ = _gauge_fit(spark, sf_dir)
+    error = F.col("proba1") - F.col("label")
+    gaps = [error, *[error * F.col(c) for c in FEATURES]]
+    worst = F.greatest(*[F.abs(F.avg(gap)) for gap in gaps])
+    return gauge.score(model, train).agg(
+        F.count("*").alias("train_rows"), (worst < 1e-3).alias("no_gradient"),
+        F.lit(len(model.coefficients)).alias("weights"),
+    )
+
+
+@query
+def positive_probabilities(spark, sf_dir):
+    """The positive element of probability vectors made from the rule scores."""
+    rows = rule_scores(spark, sf_dir)
+    vector = array_to_vector(F.array(1 - F.col("proba1"), F.col("proba1")))
+    return rows.select("Date", "symbol", positive_probability(vector).alias("proba1"))
+
+
+@query
+def strongest_weights(spark, sf_dir):
+    """The three strongest of a coefficient table whose weights are feature means."""
+    means = joined_of(spark, sf_dir).agg(*[F.avg(c).alias(c) for c in FEATURES])
+    return gauge.by_strength(means.unpivot([], list(FEATURES), "feature", "weight")).limit(3)
+
+
 @query
 def gauge_coefficients(spark, sf_dir):
     model, _, _ = _gauge_fit(spark, sf_dir)

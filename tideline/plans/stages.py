@@ -54,16 +54,31 @@ def run_features(
     return readers.read_panel(spark, model_out)
 
 
-def run_diagnostics(spark: SparkSession, model_features: str, out: str) -> dict[str, DataFrame]:
+def run_diagnostics(
+    spark: SparkSession,
+    model_features: str,
+    out: str,
+    event_day: str | datetime.date | None = None,
+) -> dict[str, DataFrame]:
+    """Anomalies, volatility, percentiles, and the widespread days; one day in detail if given."""
     rows = readers.read_panel(spark, model_features)
-    results = {
-        "anomaly_counts_by_coin": diagnostics.anomalies_by_entity(rows),
-        "anomaly_counts_by_date": diagnostics.anomalies_by_date(rows),
-        "vol30_summary": diagnostics.volatility_summary(rows),
-    }
-    for name, result in results.items():
+
+    def save(name: str, result: DataFrame) -> DataFrame:
         writers.write_panel(result, f"{out}/{name}")
-    return {name: spark.read.parquet(f"{out}/{name}") for name in results}
+        return spark.read.parquet(f"{out}/{name}")
+
+    saved = {
+        "anomaly_counts_by_coin": save("anomaly_counts_by_coin", diagnostics.anomalies_by_entity(rows)),
+        "anomaly_counts_by_date": save("anomaly_counts_by_date", diagnostics.anomalies_by_date(rows)),
+        "vol30_summary": save("vol30_summary", diagnostics.volatility_summary(rows)),
+        "feature_percentiles": save("feature_percentiles", diagnostics.feature_percentiles(rows)),
+    }
+    # The daily counts as saved; the panel is not read again.
+    by_date = saved["anomaly_counts_by_date"]
+    saved["widespread_down_days"] = save("widespread_down_days", diagnostics.widespread_down_days(by_date))
+    if event_day is not None:
+        saved["event_day"] = save("event_day", by_date.where(F.col("Date") == F.lit(event_day)))
+    return saved
 
 
 def run_regimes(
@@ -136,6 +151,7 @@ def run_analysis(
     balance_classes: bool = False,
     lead: str = LEAD_SYMBOL,
     cache: bool = True,
+    event_day: str | datetime.date | None = None,
 ) -> dict[str, DataFrame]:
     """Steps 1-7 on labelled rows; every result is saved under ``out`` and returned as saved.
 
@@ -159,7 +175,11 @@ def run_analysis(
     try:
         axis = Axis().measured(keep(labels))
         if 1 in steps:
-            writers.save_json(_manifest(labels), f"{out}/manifest.json")
+            results.save("symbols", cleaning.distinct_entities(labels), short=False)
+            manifest = _manifest(labels).withColumn("symbols_table", F.lit("symbols"))
+            writers.save_json(manifest, f"{out}/manifest.json")
+            if event_day is not None:
+                results.save("regime_counts_event_day", transitions.label_counts_on(labels, event_day, axis))
             results.save("regime_counts", transitions.label_counts(labels))
             results.save("top_regimes", transitions.top_labels(labels, axis), short=False)
         if 2 in steps:
@@ -179,6 +199,7 @@ def run_analysis(
             daily = results.save_now(
                 "breadth_daily", breadth.breadth_daily(labels, axis), short=False
             )
+            results.save("breadth_conservation", breadth.breadth_conservation(daily))
             with_lead = breadth.breadth_with_lead(daily, joined, axis, lead)
             found = results.save_now("breadth_lead_corr", breadth.lead_correlations(with_lead))
             by_share = F.map_from_entries(F.collect_list(F.struct("share", "corr")))
@@ -224,6 +245,7 @@ def _transition_step(
     for name, value in (("matrix_counts", "count"), ("matrix_prob", "prob")):
         matrix = transitions.transition_matrix(probabilities, value)
         results.save(name, matrix.orderBy("regime"))
+        results.save(f"{name}_row_sums", transitions.matrix_row_sums(matrix).orderBy("regime"))
     stay = transitions.stay_probabilities(probabilities)
     results.save("stay_prob", stay.orderBy("regime"))
     runs = transitions.run_lengths(rows, axis)
@@ -255,6 +277,8 @@ def _change_step(forward: DataFrame, results: writers.Results) -> None:
         short=False,
     )
     results.save("transitions_fwd1_stay_vs_change", returns.stay_or_change_returns(forward))
+    results.save("change_tallies", returns.change_tallies(forward))
+    results.save("change_counts", returns.change_counts(forward))
 
 
 def _cluster_step(spark: SparkSession, joined: DataFrame, results: writers.Results) -> None:
@@ -313,17 +337,17 @@ def gauge_metrics(
     """One row with everything measured about a fitted gauge."""
     best = gauge.best_threshold(sweep)
     best_names = ("threshold", "f1", "precision", "recall", "accuracy")
-    baselines = gauge.trivial_baselines(scored)
+    summary = gauge.score_summary(scored)
     at_default = gauge.default_metrics(cells).withColumnRenamed("accuracy", "acc")
     parts = [
         train.agg(F.count(F.lit(1)).alias("train_rows")),
-        scored.agg(F.count(F.lit(1)).alias("test_rows")),
-        baselines.select(
+        summary.select(
+            "test_rows",
             "test_positive_rate",
-            F.struct(*baselines.columns[1:]).alias("baselines"),
+            F.struct(*gauge.BASELINES).alias("baselines"),
+            "brier",
+            F.struct(*gauge.PROBABILITY_QUANTILES).alias("prob_quantiles"),
         ),
-        gauge.brier(scored),
-        gauge.probability_quantiles(scored).select(F.struct("*").alias("prob_quantiles")),
         at_default.select(
             *[F.col(c).alias(f"{c}_at_default") for c in ("acc", "precision", "recall", "f1")]
         ),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.runs import STEP_COLUMNS
 
@@ -33,9 +35,14 @@ def read_raw_bars(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("file_name", F.col("_metadata.file_path"))
 
 
-def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table; partition columns are recovered from the folder names, as text."""
-    return spark.read.parquet(path)
+def read_panel(spark: SparkSession, path: str, text: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Parquet table; partition columns are recovered from the folder names, those in ``text`` as
+    they are written there, also where they look like numbers or dates."""
+    found = spark.read.parquet(path).schema
+    as_text = [
+        T.StructField(f.name, T.StringType(), f.nullable) if f.name in text else f for f in found
+    ]
+    return spark.read.schema(T.StructType(as_text)).parquet(path)
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -59,24 +66,26 @@ def read_runs(spark: SparkSession, base: str) -> DataFrame:
 
     Lines that do not parse are dropped.
     """
-    try:
-        runs = (
-            spark.read.schema(RUN_SCHEMA)
-            .option("mode", "DROPMALFORMED")
-            .json(f"{base}/summary.jsonl")
-        )
+    lines = f"{base}/summary.jsonl"
+    if _exists(spark, lines):
+        runs = spark.read.schema(RUN_SCHEMA).option("mode", "DROPMALFORMED").json(lines)
         if not runs.isEmpty():
             return runs
-    except (AnalysisException, Py4JJavaError):
-        pass
+    # Maps have no CSV form.
+    flat = ", ".join(f for f in RUN_SCHEMA.split(", ") if " map<" not in f)
+    kinds = dict(f.strip().split(" ", 1) for f in flat.split(", "))
     for name in ("summary.csv", "summary_agg.csv"):
-        try:
-            return (
-                spark.read.option("header", True)
-                .option("inferSchema", True)
-                .option("mode", "DROPMALFORMED")
-                .csv(f"{base}/{name}")
+        path = f"{base}/{name}"
+        if _exists(spark, path):
+            # Aggregated summaries have columns of their own, whose types are inferred.
+            scan = spark.read.option("header", True).option("inferSchema", True)
+            rows = scan.option("mode", "DROPMALFORMED").csv(path)
+            return rows.withColumns(
+                {c: F.expr(f"try_cast(`{c}` AS {kinds[c]})") for c in rows.columns if c in kinds}
             )
-        except AnalysisException:
-            continue
     raise FileNotFoundError(f"no run summary in {base}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
