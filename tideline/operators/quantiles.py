@@ -10,8 +10,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ACCURACY = 10_000
+#: Equal parts of a bracket that are counted before any of its values are put in order.
+PARTS = 1024
 
 
 def sketch_quantile(value: str | Column, p: float, accuracy: int = ACCURACY) -> Column:
@@ -29,12 +32,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """``by`` columns plus one exact quantile per entry of ``probs`` (name → p).
 
-    The sketch brackets each quantile between two values at most ``4 / accuracy`` of the
-    group apart. A second pass counts rows below the bracket and, inside it, rows per
-    distinct value; both are combined before the shuffle, so even a group that holds most
-    of the table moves only its brackets, and one task orders at most ``4 / accuracy`` of a
-    group; raise ``accuracy`` where that is still too many. ``few_groups`` says that the groups are a short
-    fixed list (labels, feature names), whose brackets may be broadcast.
+    The sketch brackets each quantile between two values at most ``4 / accuracy`` of the group apart. A
+    second pass counts rows below the bracket and, inside it, rows per distinct value; both are
+    combined before the shuffle, so even a group that holds most of the table moves only its
+    brackets. Counts of :data:`PARTS` equal parts of a bracket tell which part the quantile lies
+    in, and only the values of that part are put in order. ``few_groups`` says that the groups
+    are a short fixed list (labels, feature names), whose brackets may be broadcast.
     """
     by = list(by)
     names = list(probs)
@@ -70,6 +73,7 @@ def exact_quantiles(
             t["_target"].alias("_target"),
             t["_rank"].alias("_rank"),
             F.when(F.col("_value") >= t["_low"], F.col("_value")).alias("_inside"),
+            _part(t, df.schema[value].dataType).alias("_part"),
         ),
     )
     if by:
@@ -78,7 +82,7 @@ def exact_quantiles(
         aimed = present.withColumn("_targets", targets.select("_targets").scalar())
     counts = (
         aimed.select(*keys, F.inline(reached))
-        .groupBy(*keys, "_target", "_rank", "_inside")
+        .groupBy(*keys, "_target", "_rank", "_part", "_inside")
         .agg(F.count(F.lit(1)).alias("_count"))
     )
     running = (
@@ -86,8 +90,10 @@ def exact_quantiles(
         .orderBy(F.col("_inside").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = counts.withColumn("_upto", F.sum("_count").over(running)).where(
-        F.col("_upto") >= F.col("_rank")
+    found = (
+        _decisive(counts, keys)
+        .withColumn("_upto", F.col("_before") + F.sum("_count").over(running))
+        .where(F.col("_upto") >= F.col("_rank"))
     )
     return found.groupBy(*keys).agg(
         *[
@@ -97,6 +103,39 @@ def exact_quantiles(
     ).select(*by, *names)
 
 
+def _part(target: Column, kind: T.DataType) -> Column:
+    """Number of the equal part of a bracket that a value lies in, in the order of values.
+
+    Rows below the bracket are part -1. Values that cannot be subtracted are one part.
+    """
+    inside = F.lit(0).cast("bigint")
+    if isinstance(kind, T.NumericType):
+        width = (target["_high"] - target["_low"]).cast("double")
+        share = F.try_divide((F.col("_value") - target["_low"]).cast("double"), width)
+        usable = share.isNotNull() & ~F.isnan(share)
+        inside = F.when(usable, F.floor(share * PARTS)).otherwise(0)
+        inside = F.when(F.col("_value") >= target["_high"], PARTS).otherwise(F.least(inside, F.lit(PARTS - 1)))
+    return F.when(F.col("_value") < target["_low"], -1).otherwise(inside)
+
+
+def _decisive(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``counts`` in the part that holds the rank, with how many rows lie before it."""
+    by = [*keys, "_target", "_part"]
+    upto = (
+        Window.partitionBy(*keys, "_target")
+        .orderBy("_part")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    parts = (
+        counts.groupBy(*by, "_rank")
+        .agg(F.sum("_count").alias("_in_part"))
+        .withColumn("_before", F.sum("_in_part").over(upto) - F.col("_in_part"))
+    )
+    reached = F.col("_before") + F.col("_in_part") >= F.col("_rank")
+    chosen = parts.where(reached & (F.col("_before") < F.col("_rank"))).select(*by, "_before")
+    return counts.join(chosen, by)
+
+
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], exact: bool = True
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from tideline.operators import (
 from tideline.operators.layout import Axis
 from tideline.plans import panels, stages
 from tideline.plans.panels import DAILY, LEAD, TICKS
-from tideline.session import materialise, scratch_path
+from tideline.session import materialise, scratch_path, stored
 from tideline.settings import FEATURES, REGIMES
 from tideline.sources import readers, writers
 
@@ -603,8 +603,7 @@ def centroids_long(spark, sf_dir):
     return reshape.long_centroids(clusters.centroid_means(joined_of(spark, sf_dir), "cluster"))
 
 
-def _scaled(spark, sf_dir):
-    rows = materialise(joined_of(spark, sf_dir), "joined")
+def _scaled(rows: DataFrame):
     vectors = clusters.assemble(rows)
     scaler = clusters.fit_scaler(vectors)
     return scaler.transform(vectors), scaler
@@ -612,31 +611,31 @@ def _scaled(spark, sf_dir):
 
 @query
 def scaled_features(spark, sf_dir):
-    scaled, _ = _scaled(spark, sf_dir)
+    scaled, _ = _scaled(materialise(joined_of(spark, sf_dir), "joined"))
     return scaled.select("Date", "symbol", *clusters.scaled_columns(scaled))
 
 
-def _means_by_cluster(scaled: DataFrame) -> list:
-    """Mean scaled vector per rule cluster: five rows."""
-    columns = clusters.scaled_columns(scaled)
+def _unscaled_means(spark, sf_dir, cluster: Column) -> dict[int, list[float]]:
+    """Mean scaled vector per cluster back in feature units, a row each."""
     names = [f"scaled_{c}" for c in FEATURES]
-    grouped = scaled.select("cluster", *columns).groupBy("cluster")
-    return sorted(grouped.agg(*[F.avg(n).alias(n) for n in names]).collect())
+    with stored(joined_of(spark, sf_dir), "joined") as rows:
+        scaled, scaler = _scaled(rows)
+        grouped = scaled.select(cluster.alias("cluster"), *clusters.scaled_columns(scaled)).groupBy("cluster")
+        means = sorted(grouped.agg(*[F.avg(n).alias(n) for n in names]).collect())
+    return {r["cluster"]: clusters.unscaled(r[1:], scaler) for r in means}
 
 
 @query
 def unscaled_centres(spark, sf_dir):
     """Centres of scaled groups put back into feature units."""
-    scaled, scaler = _scaled(spark, sf_dir)
-    centres = [clusters.unscaled(r[1:], scaler) for r in _means_by_cluster(scaled)]
-    return clusters.plain_centroid_table(spark, centres)
+    centres = _unscaled_means(spark, sf_dir, F.col("cluster"))
+    return clusters.plain_centroid_table(spark, list(centres.values()))
 
 
 @query
 def regime_names(spark, sf_dir):
     """Names that the rules give to the rule clusters from their centres."""
-    scaled, scaler = _scaled(spark, sf_dir)
-    centres = {r["cluster"]: clusters.unscaled(r[1:], scaler) for r in _means_by_cluster(scaled)}
+    centres = _unscaled_means(spark, sf_dir, F.col("cluster"))
     rows = sorted(clusters.name_regimes(centres).items())
     return spark.createDataFrame(rows, "cluster int, regime string")
 
@@ -644,9 +643,7 @@ def regime_names(spark, sf_dir):
 @query
 def regime_names_three(spark, sf_dir):
     """The same for three clusters of all rows, where fewer than five names are given."""
-    scaled, scaler = _scaled(spark, sf_dir)
-    merged = scaled.withColumn("cluster", F.col("cluster") % 3)
-    centres = {r["cluster"]: clusters.unscaled(r[1:], scaler) for r in _means_by_cluster(merged)}
+    centres = _unscaled_means(spark, sf_dir, F.col("cluster") % 3)
     rows = sorted(clusters.name_regimes(centres).items())
     return spark.createDataFrame(rows, "cluster int, regime string")
 

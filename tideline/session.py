@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +62,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As :func:`materialise`, for a table that is needed only inside the ``with`` block."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        discard(spark, path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Removes a table below the scratch folder; no other path is touched."""
     if not path.startswith(f"{scratch_root(spark)}/tideline/"):
