@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import (
     cover_search, lattice_links, page_wrappers, personal_data, rank_bpe, rule_quality, simhash_index, suffix_radix,
-    token_packing,
+    token_packing, warc_derivatives,
 )
 from tideline.llm.tables import load
 
@@ -56,6 +56,11 @@ def op8_bpe(spark, sf_dir):
     return rank_bpe.digests(load(spark, sf_dir, "documents"))
 
 
+@query
+def op5_warc(spark, sf_dir):
+    return warc_derivatives.derivatives(warc_derivatives.responses(load(spark, sf_dir, "pages")))
+
+
 @query
 def op6_packing(spark, sf_dir):
     return token_packing.pack_documents(load(spark, sf_dir, "documents"))
