@@ -238,31 +238,41 @@ _RUN_SCHEMA = "gram long, whole long, key long, place long, times int, until int
 _RUN_NAMES = ["gram", "whole", "key", "place", "times", "until"]
 
 
-def _refined(rows: DataFrame, digit: str, whole: str, times: str) -> DataFrame:
+def _refined(rows: DataFrame, digit: str, used: list[Stored]) -> DataFrame:
     """``rows`` whose bucket (``gram`` and ``digit``) holds another one.
 
     ``alike``: all of the bucket are equal as a whole. Otherwise they go on to the next digit.
     """
     by = ["gram"] if digit == "gram" else ["gram", digit]
     buckets = rows.groupBy(*by).agg(
-        F.sum(times).alias("_n"), F.min(whole).alias("_low"), F.max(whole).alias("_high")
+        F.sum("times").alias("_n"), F.min("whole").alias("_low"), F.max("whole").alias("_high")
     )
     held = buckets.where("_n > 1").select(*by, (F.col("_low") == F.col("_high")).alias("alike"))
-    return rows.join(held, by)
+    return rows.join(_kept(held, "counted", used), by)
+
+
+def _kept(df: DataFrame, name: str, used: list[Stored]) -> DataFrame:
+    """``df`` as a stored table, noted in ``used``.
+
+    Counts that are joined as they come would be tied to the layout they were counted in, and a
+    bucket that holds many of the other side's rows could not be split.
+    """
+    used.append(Stored(df, name))
+    return used[-1].df
 
 
 # What a text's row says about one of its intervals or runs.
 _REMOVE, _CUT, _MATCH = 0, 1, 2
 
 
-def _first_passes(found: DataFrame, depth: Depth) -> DataFrame:
+def _first_passes(found: DataFrame, depth: Depth, used: list[Stored]) -> DataFrame:
     """``key, tag`` and the list of what the first two digits say about each text."""
-    judged = Stored(_refined(found.where("times > 0"), "gram", "whole", "times").drop("until"), "judged").df
+    judged = _kept(_refined(found.where("times > 0"), "gram", used).drop("until"), "judged", used)
     mixed = judged.where("NOT alike")
     wholes = mixed.groupBy("gram", "whole").agg(
         F.sum("times").alias("n"), F.min(F.struct("key", "place")).alias("one")
     )
-    mixed = mixed.join(wholes, ["gram", "whole"]).withColumn("repeated", F.col("n") > 1)
+    mixed = mixed.join(_kept(wholes, "counted", used), ["gram", "whole"]).withColumn("repeated", F.col("n") > 1)
     settled = (
         judged.where("alike").select("key", "place", "times").union(mixed.where("repeated").select("key", "place", "times"))
     ).where("times = 1")
@@ -409,10 +419,10 @@ def _open_texts(texts: DataFrame, depth: Depth, as_text: bool) -> DataFrame:
     return texts.select("rest", "key", "tag", "body", "told").mapInArrow(task, schema)
 
 
-def _last_passes(opened: DataFrame, depth: Depth) -> DataFrame:
+def _last_passes(opened: DataFrame, depth: Depth, used: list[Stored]) -> DataFrame:
     """``key, tag`` and the intervals that the pieces and single suffixes add."""
     pieces = opened.where("size(pieces) > 0").select("key", "tag", F.explode("pieces").alias("p")).select("key", "tag", "p.*")
-    judged = Stored(_refined(pieces, "core", "whole", "times"), "pieces").df
+    judged = _kept(_refined(pieces, "core", used), "pieces", used)
     # Two rows of one bucket are no two texts' if one of them stands for many; those have two times.
     settled = judged.where("alike AND times = 1").select(
         "key", "tag", "first", (F.col("first") + F.size("windows") - 1 + depth.threshold).alias("until")
@@ -423,7 +433,7 @@ def _last_passes(opened: DataFrame, depth: Depth) -> DataFrame:
     repeated = single.groupBy("bucket", "digit").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
     last = (
         single.where("times = 1")
-        .join(repeated, ["bucket", "digit"])
+        .join(_kept(repeated, "counted", used), ["bucket", "digit"])
         .select("key", "tag", (F.col("first") + F.col("nth")).alias("first"))
         .withColumn("until", F.col("first") + depth.threshold)
     )
@@ -445,6 +455,11 @@ def _closed_texts(opened: DataFrame, schema_of: DataFrame, as_text: bool) -> Dat
     return opened.select("rest", "body", "known", "added").mapInArrow(task, schema)
 
 
+def _dropped(used: list[Stored]) -> None:
+    while used:
+        used.pop().drop()
+
+
 def without_repeats(docs: DataFrame, text: str = "text", depth: Depth = Depth(), as_text: bool = True) -> DataFrame:
     """Each row of ``docs`` without the bytes of strings as long as the threshold that stand elsewhere too.
 
@@ -464,11 +479,14 @@ def without_repeats(docs: DataFrame, text: str = "text", depth: Depth = Depth(),
         F.pmod(F.xxhash64(F.lit(2), *named, body), F.lit(1 << 14)).cast("int").alias("tag"),
         body.alias("body"),
     )
-    found = Stored(_run_rows(texts.where(F.length("body") >= depth.threshold), depth), "runs")
-    told = Stored(_first_passes(found.df, depth), "told").df
-    found.drop()
-    opened = Stored(_open_texts(texts.join(told, ["key", "tag"], "left"), depth, as_text), "opened").df
-    added = _last_passes(opened, depth)
+    used: list[Stored] = []
+    found = _kept(_run_rows(texts.where(F.length("body") >= depth.threshold), depth), "runs", used)
+    told = Stored(_first_passes(found, depth, used), "told")
+    _dropped(used)
+    opened = Stored(_open_texts(texts.join(told.df, ["key", "tag"], "left"), depth, as_text), "opened").df
+    told.drop()
+    added = Stored(_last_passes(opened, depth, used), "added").df
+    _dropped(used)
     unsettled = opened.where("body IS NOT NULL").select("rest", "key", "tag", "body", "known")
     closed = _closed_texts(unsettled.join(added, ["key", "tag"], "left"), opened, as_text)
     return opened.where("body IS NULL").select("rest", *_OUT_NAMES).union(closed)
