@@ -82,10 +82,18 @@ def winsor_bounds(laid: DataFrame, axis: Axis, settings: FeatureSettings) -> Dat
 
 
 def add_winsor(laid: DataFrame, axis: Axis, settings: FeatureSettings) -> DataFrame:
+    shares = [settings.winsor_low, settings.winsor_high]
     if axis.hot:
-        joined = layout.looked_up(laid, winsor_bounds(laid, axis, settings), axis.block_keys(), small=False)
+        # Plain equality keeps the layout; rows without entity, which it cannot match, are one
+        # group, whose bounds are a single value.
+        joined = laid.join(winsor_bounds(laid, axis, settings), axis.block_keys(), "left")
+        nameless = layout.home_rows(laid.where(F.col(axis.entity).isNull()))
+        of_none = nameless.agg(F.percentile_approx("ret_1d", shares, settings.accuracy).alias("b")).scalar()
+        missing = F.col(axis.entity).isNull()
+        joined = joined.withColumns(
+            {c: F.when(missing, of_none[i]).otherwise(F.col(c)) for i, c in enumerate(("q_lo", "q_hi"))}
+        )
     else:
-        shares = [settings.winsor_low, settings.winsor_high]
         whole = F.percentile_approx("ret_1d", shares, settings.accuracy).over(axis.group())
         joined = (
             laid.withColumn("_bounds", whole)

@@ -93,6 +93,8 @@ class Axis:
                 F.percentile_approx(tick, shares, ACCURACY).alias("bounds"),
                 F.max(tick).alias("last"),
             )
+            # Only entities that may be hot need them, so that what is kept stays small.
+            .withColumn("bounds", F.when(F.col("rows") > self.min_block_rows, F.col("bounds")))
             .persist()
         )
         try:
@@ -139,7 +141,7 @@ def cut(df: DataFrame, axis: Axis, before: int = 0, after: int = 0) -> DataFrame
     if axis.single:
         directory, keys = directory.drop(axis.entity), [SLICE]
     return (
-        looked_up(sliced, directory, keys)
+        _looked_up(sliced, directory, keys)
         .withColumns({HOME: F.coalesce(HOME, zero), START: F.coalesce(START, zero)})
         .withColumn(BLOCK, F.explode(F.coalesce("_blocks", F.array(zero))))
         .drop(SLICE, "_blocks")
@@ -183,21 +185,18 @@ def add_block_offsets(df: DataFrame, axis: Axis, local: str, out: str) -> DataFr
         .drop("_in_block")
     )
     return (
-        looked_up(df, offsets, axis.block_keys())
+        _looked_up(df, offsets, axis.block_keys())
         .withColumn(out, F.col(local) + F.coalesce("_offset", F.lit(0)))
         .drop("_offset")
     )
 
 
-def looked_up(df: DataFrame, table: DataFrame, keys: list[str], small: bool = True) -> DataFrame:
-    """``df`` with the other columns of ``table`` at equal keys, where NULL equals NULL.
-
-    ``small`` says that the table's size has a bound, so that it may be broadcast.
-    """
+def _looked_up(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the other columns of a small ``table`` at equal keys, where NULL equals NULL."""
     renamed = {k: f"_{k}_of_table" for k in keys}
     there = table.withColumnsRenamed(renamed)
     equal = [F.col(k).eqNullSafe(F.col(name)) for k, name in renamed.items()]
-    found = df.join(F.broadcast(there) if small else there, reduce(Column.__and__, equal), "left")
+    found = df.join(F.broadcast(there), reduce(Column.__and__, equal), "left")
     return found.drop(*renamed.values())
 
 
@@ -236,7 +235,7 @@ def _add_slice(df: DataFrame, axis: Axis) -> DataFrame:
         known = {"_bounds": F.lit(bounds), "_last": F.lit(last), "_parts": F.lit(parts)}
         found = df.withColumns({c: v.cast(schema[c].dataType) for c, v in known.items()})
     else:
-        found = looked_up(df, df.sparkSession.createDataFrame(padded, schema), [axis.entity])
+        found = _looked_up(df, df.sparkSession.createDataFrame(padded, schema), [axis.entity])
     # Rows without a time come first.
     tick = F.coalesce(_ticks(df, axis), F.col("_bounds")[0])
     found = found.withColumn("_tick", tick)
