@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: SQL counterparts; the operators without one are tested against brute force.
 SQL: dict[str, str] = {}
 
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
 
 def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[make.__name__] = make
@@ -28,11 +30,55 @@ def op1_suffix_dedup(spark, sf_dir):
     return suffix_radix.digests(load(spark, sf_dir, "documents"))
 
 
+SQL["op1_suffix_dedup"] = """WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+),
+sized AS (SELECT *, CAST(length(h) // 2 AS BIGINT) AS n_bytes FROM d),
+-- Short blocks first: taking a string from far inside a long one reads all before it.
+blocks AS (SELECT r, n_bytes, h, unnest(range((n_bytes + 499) // 500)) AS b FROM sized),
+parts AS (SELECT r, b, least(500, n_bytes - 399 - 500 * b) AS n, substr(h, 1000 * b + 1, 1798) AS part FROM blocks),
+starts AS (SELECT r, b, part, unnest(range(n)) AS j FROM parts WHERE n > 0),
+windows AS (SELECT r, 500 * b + j AS i, md5_number(substr(part, 2 * j + 1, 800)) AS k FROM starts),
+repeated AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+found AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM windows SEMI JOIN repeated USING (k)),
+numbered AS (
+  SELECT r, i, count(*) FILTER (WHERE before IS NULL OR i > before + 400) OVER (PARTITION BY r ORDER BY i) AS run
+  FROM found
+),
+spans AS (SELECT r, min(i) AS s, max(i) + 400 AS e FROM numbered GROUP BY r, run),
+gaps AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS since FROM spans),
+cut AS (
+  SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
+         string_agg(substr(h, 2 * since + 1, 2 * (s - since)), '' ORDER BY s) AS kept
+  FROM gaps JOIN sized USING (r) GROUP BY r
+)
+SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM sized LEFT JOIN cut USING (r)"""
+
+
 @query
 def op2_lattice(spark, sf_dir):
     return lattice_links.near_vectors(load(spark, sf_dir, "embeddings"))
 
 
+SQL["op2_lattice"] = f"""WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS w FROM embeddings
+  WHERE {_USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.w, b.w) >= CAST(0.9 AS DOUBLE)
+),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.a AS vec_id, coalesce(max(n), 0) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM reach r LEFT JOIN counted c ON c.a = r.a GROUP BY r.a"""
+
+
 @query
 def op3_personal_data(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
@@ -74,3 +120,18 @@ def op9_cover_search(spark, sf_dir):
 @query
 def op10_wrappers(spark, sf_dir):
     return page_wrappers.page_texts(load(spark, sf_dir, "pages"))
+
+
+SQL["op9_cover_search"] = f"""WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings WHERE {_USABLE}
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % {cover_search.EVERY} = 0
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {cover_search.TOP}"""
