@@ -143,27 +143,28 @@ def _simplified(path: Rule) -> Rule:
 
 
 def meets(rules: list[Rule], x: np.ndarray) -> np.ndarray:
-    """Which rows meet which rules, as zeros and ones."""
-    out = np.ones((len(x), len(rules)))
+    """Which rows (first axis) meet which rules."""
+    out = np.ones((len(rules), len(x)), bool)
     for j, rule in enumerate(rules):
         for f, above, cut in rule:
-            out[:, j] *= x[:, f] > cut if above else x[:, f] <= cut
-    return out
+            out[j] &= x[:, f] > cut if above else x[:, f] <= cut
+    return out.T
 
 
 def _lasso(r: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tuple[float, np.ndarray]:
     """Logistic weights under an L1 penalty, by accelerated proximal gradient."""
     n, k = r.shape
-    mean, spread = r.mean(0), np.maximum(r.std(0), 0.02)
-    z = (r - mean) / spread
-    lip = 0.25 * (1 + np.linalg.norm(z, 2) ** 2 / n)
+    mean, spread = r.mean(0, dtype=float), np.maximum(r.std(0, dtype=float), 0.02)
+    z = r - mean.astype(np.float32)
+    z /= spread.astype(np.float32)
+    lip = 0.25 * (1 + np.linalg.eigvalsh((z.T @ z).astype(float) / n)[-1] * 1.001)
     rate = min(max(y.mean(), 1e-6), 1 - 1e-6)
     w = v = np.zeros(k)
     b = vb = math.log(rate / (1 - rate))
     t = 1.0
     for _ in range(steps):
-        error = 1 / (1 + np.exp(-(z @ v + vb))) - y
-        new = v - z.T @ error / n / lip
+        error = 1 / (1 + np.exp(-(z @ v.astype(np.float32) + vb))) - y
+        new = v - z.T @ error.astype(np.float32) / n / lip
         new = np.sign(new) * np.maximum(np.abs(new) - penalty / lip, 0)
         new_b = vb - error.mean() / lip
         ahead = (1 + math.sqrt(1 + 4 * t * t)) / 2
@@ -215,16 +216,20 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, see
         if paths:
             # A step towards the mean gradient of each leaf, over all rows.
             leaves = [p for p in paths if not any(q[: len(p)] == p and q != p for q in paths)]
-            member = meets(leaves, x)
-            margin += 0.3 * member @ (member.T @ grad / np.maximum(1, member.sum(0))) * 4
+            for member in meets(leaves, x).T:
+                margin[member] += 1.2 * grad[member].mean() if member.any() else 0.0
     rules = list(found)
     if not rules:
         return constant
     r = meets(rules, x)
-    spread = r.std(0)
-    _, first = np.unique(r, axis=1, return_index=True)  # rules that the same rows meet are one
-    chosen = sorted(first, key=lambda j: (-abs(np.corrcoef(r[:, j], y)[0, 1]) if spread[j] else 0, j))[:most]
-    rules, r = [rules[j] for j in chosen], r[:, chosen]
+    # Rules that the same rows meet are one.
+    first = {column.tobytes(): j for j, column in reversed(list(enumerate(np.packbits(r, axis=0).T)))}
+    away, told = y - y.mean(), {}
+    for j in first.values():
+        share = r[:, j].mean()
+        told[j] = abs(away[r[:, j]].sum()) / (n * math.sqrt(share * (1 - share))) if 0 < share < 1 else 0.0
+    chosen = sorted(told, key=lambda j: (-told[j], j))[:most]
+    rules, r = [rules[j] for j in chosen], r[:, chosen].astype(np.float32)
     check = np.arange(n) % 4 == 0
     best = (math.inf, 0.0)
     for penalty in (0.03, 0.01, 0.003, 0.001):
