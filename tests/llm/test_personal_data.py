@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tideline.llm import personal_data as pii
 from tideline.llm.char_tagger import Tagger
+from tideline.llm.tables import hashed_sample
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -109,6 +110,13 @@ def test_detect_keeps_base_spans(spark, trained):
     assert pii.train(docs.limit(0)) is None and pii.train(docs.where("doc_id > 1 and doc_id < 4")) is None
 
 
+def test_samples_are_bounded_and_do_not_depend_on_partitions(spark):
+    df = spark.range(10_000).select(F.col("id"), F.lit("x").alias("t"))
+    one = {r.id for r in hashed_sample(df, 640, ["id"]).collect()}
+    assert one == {r.id for r in hashed_sample(df.repartition(7), 640, ["id"]).collect()} and len(one) == 640
+    assert len(hashed_sample(df.where("id < 100"), 640, ["id"]).collect()) == 100
+
+
 def test_redact(spark):
     rows = [("to a@b.co: 1.2.3.4 and +1 (017) 555-7713.",), (None,), ("",), ("plain",), ("nr 4111111111111111",)]
     docs = spark.createDataFrame(rows, "text string").withColumn("doc_id", F.lit(None).cast("long"))

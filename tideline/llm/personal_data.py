@@ -10,7 +10,6 @@ kind; base spans always stay.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.char_tagger import PAD, WIDTH, Tagger, codes
+from tideline.llm.tables import hashed_sample
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE, LABELS = 0, 1 + 2 * len(KINDS)  # 1, 3, ... begin a kind; 2, 4, ... go on with it
@@ -105,10 +105,10 @@ def _stretches(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _windows(text: str) -> Iterator[tuple[int, int]]:
-    for low, high in _stretches(text):
-        for start in range(low, max(low + 1, high - WIDTH + STRIDE), STRIDE):
-            yield start, min(start + WIDTH, high)
+def _windows(low: int, high: int) -> Iterator[tuple[int, int]]:
+    """Overlapping windows over a stretch."""
+    for start in range(low, max(low + 1, high - WIDTH + STRIDE), STRIDE):
+        yield start, min(start + WIDTH, high)
 
 
 def _gold(spans: list[Span], start: int, end: int) -> np.ndarray:
@@ -139,18 +139,18 @@ def training_windows(docs: DataFrame, text: str = "text", sample: int = SAMPLE)
                 out.append([
                     {"window": _padded(one, a, b).astype(np.int8).tobytes(),
                      "labels": _gold(spans, a, b).astype(np.int8).tobytes()}
-                    for a, b in _windows(one or "")
+                    for stretch in _stretches(one or "") for a, b in _windows(*stretch)
                 ])
             yield pd.Series(out, dtype=object)
 
     rows = docs.select(F.col(text).alias("t")).where(F.col("t").rlike("[0-9@]"))
     windows = rows.select(F.explode(of("t")).alias("w")).select("w.*").distinct()
-    return windows.orderBy(F.xxhash64("window"), "window", "labels").limit(sample)
+    return hashed_sample(windows, sample, ["window", "labels"])
 
 
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Tagger | None:
     """A model of the spans in a bounded sample; none where there is nothing to learn from."""
-    rows = training_windows(docs, text, sample).collect()
+    rows = sorted(training_windows(docs, text, sample).collect())
     if not rows:
         return None
     windows = np.stack([np.frombuffer(r.window, np.int8).astype(np.int64) for r in rows])
@@ -179,21 +179,22 @@ _WEIGHT = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(fl
 
 def model_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
     """What the model alone finds in each text."""
-    plan = [(i, a, b) for i, text in enumerate(texts) for a, b in _windows(text)]
-    sums: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-    for i in {i for i, _, _ in plan}:
-        sums[i] = {a: (np.zeros((b - a, LABELS)), np.zeros((b - a, 1))) for a, b in _stretches(texts[i])}
+    sums: list[dict[int, tuple[np.ndarray, np.ndarray]]] = []
+    plan = []
+    for i, text in enumerate(texts):
+        stretches = _stretches(text)
+        sums.append({low: (np.zeros((high - low, LABELS)), np.zeros((high - low, 1))) for low, high in stretches})
+        plan += [(i, low, a, b) for low, high in stretches for a, b in _windows(low, high)]
     for k in range(0, len(plan), AT_ONCE):
         part = plan[k : k + AT_ONCE]
-        scores = tagger.scores(np.stack([_padded(texts[i], a, b) for i, a, b in part]))
-        for (i, a, b), score in zip(part, scores):
-            low = max(s for s in sums[i] if s <= a) if len(sums[i]) < 3 else _before(tuple(sums[i]), a)
+        scores = tagger.scores(np.stack([_padded(texts[i], a, b) for i, _, a, b in part]))
+        for (i, low, a, b), score in zip(part, scores):
             total, weight = sums[i][low]
             w = _WEIGHT[: b - a, None]
             total[a - low : b - low] += w * score[: b - a]
             weight[a - low : b - low] += w
     out: list[list[Span]] = [[] for _ in texts]
-    for i, stretches in sums.items():
+    for i, stretches in enumerate(sums):
         for low, (total, weight) in stretches.items():
             path, start = tagger.decode(total / weight), None
             for t, label in enumerate([*path, OUTSIDE]):
@@ -206,16 +207,6 @@ def model_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
     return out
 
 
-@functools.lru_cache(maxsize=4)
-def _sorted(starts: tuple[int, ...]) -> np.ndarray:
-    return np.array(sorted(starts))
-
-
-def _before(starts: tuple[int, ...], at: int) -> int:
-    known = _sorted(starts)
-    return int(known[np.searchsorted(known, at, "right") - 1])
-
-
 def all_spans(texts: list[str | None], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text."""
     base = [base_spans(t) for t in texts]
@@ -228,8 +219,7 @@ def all_spans(texts: list[str | None], tagger: Tagger | None) -> list[tuple[list
                 b -= 1
             while a < b and text[a] in " .,;:\n\t":
                 a += 1
-            touched = any(x < b and a < y for x, _, y in base[i])
-            if b > a and not touched and _looks_right(kind, text[a:b]):
+            if b > a and _looks_right(kind, text[a:b]) and not any(x < b and a < y for x, _, y in base[i]):
                 added[i].append((a, kind, b))
     return list(zip(base, added))
 

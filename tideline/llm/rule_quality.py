@@ -18,8 +18,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.tables import hashed_sample
+
 #: Labelled rows that a model is fitted on at most, chosen by a hash of their id.
-SAMPLE = 20_000
+SAMPLE = 8_000
 #: A text passes from this score on.
 PASSES = 0.3
 FOLDS = 5
@@ -196,7 +198,7 @@ class RuleModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, seed: int = 11, most: int = 300) -> RuleModel:
+def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, seed: int = 11, most: int = 200) -> RuleModel:
     """A model of ``y`` (0 to 1). Without rows, or with one label alone, it is a constant."""
     n = len(y)
     rate = (y.sum() + 0.5) / (n + 1)
@@ -250,15 +252,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     """A model of ``labels[label]``, which learns from no row of the held-out fold.
 
     Null labels and ids count for nothing; the labels of an id that has several are averaged.
-    At most ``sample`` labelled ids, chosen by a hash, are looked up, and at most ``sample`` rows
-    of statistics come to the driver; the list of ids is small enough to be broadcast by that bound.
+    At most ``sample`` labelled ids, chosen by a hash, are looked up, and at most ``sample`` different
+    rows of statistics come to the driver; the list of ids is small enough to be broadcast by that bound.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_y")).dropna()
     known = known.where(_fold("_id") != 0).groupBy("_id").agg(F.avg("_y").alias("_y"))
-    known = known.orderBy(F.xxhash64("_id", F.lit(3)), "_id").limit(sample)
+    known = hashed_sample(known, sample, ["_id"])
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_t"))
     found = with_statistics(texts.join(F.broadcast(known), "_id"), "_t", "_s").select("_id", "_y", "_s")
-    rows = found.orderBy(F.xxhash64("_id", F.lit(3)), "_id", "_s").limit(sample).collect()
+    rows = sorted(hashed_sample(found.distinct(), sample, ["_id", "_s"]).collect())
     x = np.array([r["_s"] for r in rows], float).reshape(len(rows), len(STATISTICS))
     return fit_rules(x, np.array([r["_y"] for r in rows], float))
 

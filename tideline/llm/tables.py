@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.session import discard, scratch_path
@@ -25,6 +25,17 @@ def row_key(doc_id: str, text: str) -> tuple[Column, Column]:
     )
 
 
+def hashed_sample(df: DataFrame, rows: int, by: list[str], parts: int = 64) -> DataFrame:
+    """At most ``rows`` rows, the first of each of ``parts`` parts by a hash of ``by``.
+
+    The same rows whatever the partitions; as each part is cut on its own, and before the shuffle,
+    no task and no driver sees more than its share. A table of fewer rows can lose some of them
+    where its hashes are uneven.
+    """
+    order = Window.partitionBy(F.pmod(F.xxhash64(*by, F.lit(17)), F.lit(parts))).orderBy(F.xxhash64(*by), *by)
+    return df.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= max(1, rows // parts)).drop("_nth")
+
+
 class Stored:
     """A table written to the shared folder, which can be removed once it has been used."""
 
