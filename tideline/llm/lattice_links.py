@@ -94,7 +94,8 @@ def _in_blocks(rows: DataFrame, group: str, vectors: DataFrame) -> DataFrame:
 
     ``rows`` has ``group, id`` and what else is needed; groups of one row are left out.
     """
-    sizes = rows.groupBy(group).count().where("count > 1")
+    # Stored, so that the join is free to split a group that holds many rows.
+    sizes = Stored(rows.groupBy(group).count().where("count > 1"), "sizes").df
     blocks = F.ceil(F.col("count") / BLOCK)
     dealt = (
         rows.join(sizes, group)
