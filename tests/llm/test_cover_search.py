@@ -80,3 +80,11 @@ def test_edges(spark):
     assert found(spark, []) == []
     wide = [(0, [3e30, 1.0]), (1, [2.0**60, -1.0]), (2, [1.0, 2.0**61]), (50, [-1.0, 0.5]), (51, [2.0**28, 3.0])]
     assert found(spark, wide) == brute(wide)
+
+
+def test_negative_ids_are_candidates(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(-120, 60)] + [(-(2**63), [9.0, 0.0, 0.0]), (2**63 - 1, [0.0, 9.0, 0.0])]
+    want = brute(rows)
+    assert any(i < 0 for _, _, i, _ in want) and any(q < 0 for q, *_ in want)
+    assert found(spark, rows) == want

@@ -108,7 +108,15 @@ def _bound(q: Node, c: Node) -> float:
 def dual_search(
     q: np.ndarray, q_ids: np.ndarray, floors: np.ndarray, c: np.ndarray, c_ids: np.ndarray, top: int = TOP
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the best ``top`` candidates of each query, in order; -1 where there are fewer.
+    """Ids and scores of the best ``top`` candidates of each query, in order; -1 where there are fewer."""
+    ids, scores, filled = filled_search(q, q_ids, floors, c, c_ids, top)
+    return np.where(filled, ids, -1), scores
+
+
+def filled_search(
+    q: np.ndarray, q_ids: np.ndarray, floors: np.ndarray, c: np.ndarray, c_ids: np.ndarray, top: int = TOP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and scores of the best ``top`` candidates of each query, in order, and which places are filled.
 
     ``floors``: a score for each query that its kth one elsewhere has reached already. Smaller ids
     win ties, so only what is less than a floor is left out.
@@ -155,8 +163,8 @@ def dual_search(
                 number += 1
                 heapq.heappush(heap, (-bound, number, *pair))
     back = np.argsort(q_order)
-    ids = np.where(best == none, -1, best_ids)[back]
-    return ids, np.where(best == none, 0, best)[back]
+    filled = (best != none)[back]
+    return best_ids[back], np.where(filled, best[back], 0), filled
 
 
 def _whole(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -178,8 +186,8 @@ def _search(rows: DataFrame, probes: DataFrame, top: int) -> DataFrame:
         if asks.all() or not asks.any():
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         floors = both["floor"].to_numpy(float)[asks]
-        best, scores = dual_search(x[asks], ids[asks], floors, x[~asks], ids[~asks], top)
-        found = best.ravel() >= 0
+        best, scores, filled = filled_search(x[asks], ids[asks], floors, x[~asks], ids[~asks], top)
+        found = filled.ravel()
         queries = np.repeat(ids[asks], top)
         return pd.DataFrame(
             {"query_id": queries[found], "vec_id": best.ravel()[found], "score": [int(x) for x in scores.ravel()[found]]}, dtype="int64"
@@ -202,8 +210,8 @@ def top_products(
     ``every`` divides, and candidates all rows but the query's own; ties go to the smaller id, and
     there are fewer ranks where there are fewer candidates. Vectors that are null or hold null or
     non-finite components take no part, rows without id neither; of several rows of one id the
-    least vector counts. Shorter vectors count as ending in zeros. Ids are not negative. Scores
-    beyond 64 bits count as the nearest that has them.
+    least vector counts. Shorter vectors count as ending in zeros. Scores beyond 64 bits
+    count as the nearest that has them.
 
     The driver gets at most :data:`PIVOTS` vectors and three numbers for each.
     """
