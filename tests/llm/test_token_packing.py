@@ -69,6 +69,21 @@ def test_bin_completion_beats_best_fit():
     assert check_plan(bins.complete(counts, 10), counts, 10) == 3
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 12), max_size=9))
+def test_only_the_steps_bound_the_search(sizes):
+    counts = Counter(sizes)
+    assert check_plan(bins.complete(counts, 20), counts, 20) == fewest(sizes, 20)
+
+
+def test_short_documents_are_packed_better_than_by_best_fit():
+    rng = random.Random(5)
+    counts = Counter(rng.randint(300, 500) for _ in range(600))  # five or six to a bin
+    plain = check_plan(bins.best_fit(counts, 2048), counts, 2048)
+    least = bins.lower_bound(counts, 2048)
+    assert check_plan(bins.complete(counts, 2048), counts, 2048) - least < (plain - least) / 2
+
+
 def test_sizes_must_fit():
     with pytest.raises(ValueError):
         bins.complete({11: 1}, 10)

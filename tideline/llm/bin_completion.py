@@ -10,6 +10,7 @@ sizes, never on the number of items.
 from __future__ import annotations
 
 import bisect
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -80,34 +81,44 @@ class _Work:
 def _sums(
     sizes: list[int], counts: dict[int, int], total: int, items: int, work: _Work
 ) -> Iterator[tuple[int, ...]]:
-    """Choices of just ``items`` items, largest first, that add up to ``total``.
+    """Choices of just ``items`` items, largest first, that add up to ``total``."""
+    least = sizes[0]
 
-    ``counts`` is as it was whenever a choice is handed out.
-    """
-    at = bisect.bisect_right(sizes, total) - 1
-    if items == 1:
-        if at >= 0 and sizes[at] == total:
-            yield (total,)
-        return
-    while at >= 0 and sizes[at] * items >= total and work.left > 0:
+    def first(most: int, rest: int, more: int) -> int:
+        return min(most, bisect.bisect_right(sizes, rest - (more - 1) * least) - 1)
+
+    chosen: list[int] = []
+    runs: list[int] = []  # how many items in a row have the size so far
+    stack = [[first(len(sizes) - 1, total, items), total, items]]
+    while stack and work.left > 0:
+        at, rest, more = stack[-1]
+        if at < 0 or sizes[at] * more < rest:
+            stack.pop()
+            if chosen:
+                chosen.pop()
+                runs.pop()
+            continue
         work.left -= 1
+        stack[-1][0] = at - 1
         size = sizes[at]
-        rest = total - size
-        if items == 2:
-            if 0 < rest <= size and counts.get(rest, 0) > (rest == size):
-                yield (size, rest)
-        elif rest:
-            counts[size] -= 1
-            below = sizes[: at + 1] if counts[size] else sizes[:at]
-            for others in _sums(below, counts, rest, items - 1, work):
-                counts[size] += 1
-                yield (size, *others)
-                counts[size] -= 1
-            counts[size] += 1
-        at -= 1
-
-
-def _dominated(chosen: tuple[int, ...], counts: dict[int, int], sizes: list[int], space: int) -> bool:
+        run = 1 + (runs[-1] if chosen and chosen[-1] == size else 0)
+        if counts[size] < run:
+            continue
+        if more == 1:
+            yield (*chosen, size)
+        elif more == 2:
+            other = rest - size
+            if counts.get(other, 0) > (run if other == size else 0):
+                yield (*chosen, size, other)
+        else:
+            chosen.append(size)
+            runs.append(run)
+            stack.append([first(at, rest - size, more - 1), rest - size, more - 1])
+
+
+def _dominated(
+    chosen: tuple[int, ...], counts: dict[int, int], sizes: list[int], space: int, work: _Work
+) -> bool:
     """Whether something left fits beside, or instead of, one or two of the chosen items."""
     if not space:
         return False
@@ -123,32 +134,42 @@ def _dominated(chosen: tuple[int, ...], counts: dict[int, int], sizes: list[int]
 
     if there(1, space) or any(there(size + 1, size + space) for size in left):
         return True
-    return any(
-        there(a + b, a + b + space) for i, a in enumerate(chosen) for b in chosen[i + 1 :]
-    )
+    distinct = list(left)
+    work.left -= len(distinct) ** 2 // 2
+    sums = {x + y for i, x in enumerate(distinct) for y in distinct[i + (left[x] < 2) :]}
+    return any(there(both, both + space) for both in sums)
 
 
 def fillings(
-    counts: dict[int, int], sizes: list[int], space: int, waste: int, items: int, work: _Work
+    counts: dict[int, int], sizes: list[int], space: int, waste: int, items: int | None, work: _Work
 ) -> Iterator[tuple[int, ...]]:
-    """Undominated choices for ``space`` that waste at most ``waste``, the least waste and the
-    largest items first. Choices of more than ``items`` items are left to their first ones: the
-    rest of the space goes to the largest items that fit, one after the other.
+    """Undominated choices for ``space`` that waste at most ``waste``, the least waste, the fewest and
+    the largest items first. Choices of more than ``items`` items, if that is given, are left to their
+    first ones: the rest of the space goes to the largest items that fit, one after the other.
 
     ``sizes`` are the sizes there are, in order.
     """
     sizes = sizes[: bisect.bisect_right(sizes, space)]
+    if not sizes:
+        if space <= waste:
+            yield ()
+        return
     seen = set()
     for lost in range(min(space, waste) + 1):
         if lost == space:
-            if not _dominated((), counts, sizes, lost):
+            if not _dominated((), counts, sizes, lost, work):
                 yield ()
             return
-        for many in range(1, items + 1):
-            for chosen in _sums(sizes, counts, space - lost, many, work):
-                if chosen not in seen and not _dominated(chosen, counts, sizes, lost):
+        total = space - lost
+        most = total // sizes[0]
+        for many in range(-(-total // sizes[-1]), (most if items is None else min(most, items)) + 1):
+            work.left -= 1
+            for chosen in _sums(sizes, counts, total, many, work):
+                if chosen not in seen and not _dominated(chosen, counts, sizes, lost, work):
                     seen.add(chosen)
                     yield chosen
+            if work.left <= 0:
+                return
         if lost == 0:
             greedy, room = [], space
             for size in reversed(sizes):
@@ -157,21 +178,24 @@ def fillings(
                 room -= take * size
                 if not room:
                     break
-            if len(greedy) > items and room <= waste and tuple(greedy) not in seen:
+            if items is not None and len(greedy) > items and room <= waste and tuple(greedy) not in seen:
                 seen.add(tuple(greedy))
                 yield tuple(greedy)
-        if work.left <= 0:
-            return
 
 
 def complete(
-    histogram: dict[int, int], capacity: int, steps: int = 1_000_000, width: int = 4, items: int = 3
+    histogram: dict[int, int],
+    capacity: int,
+    steps: int = 1_000_000,
+    width: int | None = None,
+    items: int | None = None,
 ) -> list[Pattern]:
     """Fillings for all items in as few bins as the search finds.
 
-    The result is optimal if its bins reach :func:`lower_bound` or the search ends by itself, with
-    enough ``width`` (fillings tried at a node) and ``items`` (of a filling besides its largest).
-    After ``steps`` steps the best incumbent is taken, at worst the best-fit one.
+    The result is optimal if its bins reach :func:`lower_bound` or the search ends by itself, unless
+    ``width`` (fillings tried at a node) or ``items`` (of a filling besides its largest) bound it.
+    After ``steps`` steps the best incumbent is taken, at worst the best-fit one; the bins chosen so
+    far, with best fit for what is left, are one more.
     """
     counts = {s: n for s, n in histogram.items() if n}
     if any(s < 1 or s > capacity for s in counts):
@@ -202,7 +226,8 @@ def complete(
         # Whenever a child is asked for, the counts are those of this node again.
         largest = sizes[-1]
         change(largest, -1)
-        for _, chosen in zip(range(width), fillings(counts, sizes, capacity - largest, allowed(), items, work)):
+        found = fillings(counts, sizes, capacity - largest, allowed(), items, work)
+        for chosen in itertools.islice(found, width):
             change(largest, 1)
             yield (largest, *chosen)
             change(largest, -1)
@@ -239,4 +264,8 @@ def complete(
             stack.append(iter(()))
         else:
             stack.append(children())
+    if stack:
+        begun = plan + best_fit({size: n for size, n in counts.items() if n}, capacity)
+        if bins_of(begun) < bins_of(best):
+            best = begun
     return best
