@@ -35,16 +35,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id.
+    """One row of each group of near copies stays: the one with the smallest id.
 
-    Of several rows with that id the first by content stays, once, even if the rows are the same.
-    Rows without id stay: they can be told from no other.
+    Of several rows of a group with that id the first by content stays, once, even if the rows are
+    the same. Rows of one id in different groups are told apart. Rows without id stay: they can be
+    told from no other.
     """
-    classes = simhash_index.near_copies(docs)
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_id")).drop("_id")
+    classes = simhash_index.near_copies(docs, keyed=True).where("doc_id IS NOT NULL")
+    first = classes.groupBy("component").agg(F.min(F.struct("doc_id", "row_a", "row_b")).alias("first"))
     rows = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = named.groupBy("doc_id").agg(F.min_by(rows, F.struct(*row_key("doc_id", "text"))).alias("_row")).select("_row.*")
+    keys = [key.alias(name) for key, name in zip(row_key("doc_id", "text"), ("row_a", "row_b"))]
+    named = docs.where("doc_id IS NOT NULL").select(rows.alias("_row"), *keys)
+    kept = named.join(first.select("first.row_a", "first.row_b"), ["row_a", "row_b"])
+    one = kept.groupBy("row_a", "row_b").agg(F.first("_row").alias("_row")).select("_row.*")
     return one.unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -89,3 +89,12 @@ def test_quality_stage_keeps_clean_documents(spark):
     by = {r.quality: r["count"] for r in joined}
     held = {r.quality: r["count"] for r in labels.join(docs, "doc_id").groupBy("quality").count().collect()}
     assert by[1] >= 0.995 * held[1] and by.get(0, 0) <= 0.05 * held[0]
+
+
+def test_rows_of_one_id_are_kept_by_group(spark):
+    a, b, c = ("the cat sat on the mat " * 9, "rain fell over seven quiet hills " * 9, "old maps show no roads at all " * 9)
+    for x, y, z in [(a, b, c), (b, c, a), (c, a, b)]:
+        rows = [(1, x, "en", "s", 1), (2, x, "en", "s", 1), (2, y, "en", "s", 1), (3, y, "en", "s", 1), (4, z, "en", "s", 1), (4, z, "en", "s", 1)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+        got = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, SMALL).collect())
+        assert got == [(1, x), (2, y), (4, z)]

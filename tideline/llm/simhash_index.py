@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
-from tideline.llm.tables import Stored
+from tideline.llm.tables import Stored, row_key
 
 SHINGLE, SEED, BITS = 3, 42, 64
 #: Hashes whose bits are counted at a time, which bounds the memory a long text takes.
@@ -79,17 +79,17 @@ def near_fingerprints(prints: DataFrame) -> DataFrame:
     return linked.where("a < b").where("bit_count(a ^ b) <= 2").select("a", "b").distinct()
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id``, one row per row of ``docs``.
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keyed: bool = False) -> DataFrame:
+    """``doc_id, fingerprint, component_id``, one row per row of ``docs``; with ``keyed`` also
+    ``component``, a fingerprint that names the component, and the row's key ``row_a, row_b``.
 
     ``component_id`` is the smallest id that can be reached over fingerprints two bits apart or
     fewer; rows with no id have one only if a row with an id is among those. Empty texts have
     fingerprint zero and are linked like others. Other columns are ignored.
     """
-    prints = Stored(
-        with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).drop("text"),
-        "prints",
-    ).df
+    keys = [key.alias(name) for key, name in zip(row_key(doc_id, text), ("row_a", "row_b"))] if keyed else []
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *keys)
+    prints = Stored(with_fingerprints(named).drop("text"), "prints").df
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     linked = components(near_fingerprints(prints.select("fingerprint")))
     classes = least.join(linked, least["fingerprint"] == linked["node"], "left").select(
@@ -100,6 +100,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         classes.groupBy("component")
         .agg(F.min("first_id").alias("component_id"))
         .join(classes, "component")
-        .select("fingerprint", "component_id")
+        .select("fingerprint", "component_id", "component")
     )
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    more = ["component", "row_a", "row_b"] if keyed else []
+    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", *more)
