@@ -122,3 +122,26 @@ def test_redact(spark):
     docs = spark.createDataFrame(rows, "text string").withColumn("doc_id", F.lit(None).cast("long"))
     got = [r.text for r in pii.redact(docs, None).collect()]
     assert got == ["to <EMAIL>: <IP> and <PHONE>.", None, "", "plain", "nr <CARD>"]
+
+
+@pytest.mark.parametrize(
+    "text, kind, whole, out",
+    [
+        ("to joerg.müller@firma.de now", 0, "joerg.müller@firma.de", "to <EMAIL> now"),
+        ("call +1 (017) 555-7713 ext. 12 now", 3, "+1 (017) 555-7713 ext. 12", "call <PHONE> now"),
+        ("to joerg.müller@firma.de now", 3, "joerg.müller@firma.de", "to joerg.mü<EMAIL> now"),  # not its kind
+        ("to a@b.co, 1.2.3.4 now", 0, "a@b.co, 1.2", "to <EMAIL>, <IP> now"),  # cuts another one
+    ],
+)
+def test_model_spans_extend_base_spans(spark, monkeypatch, text, kind, whole, out):
+    at = text.index(whole)
+    base = pii.base_spans(text)
+    monkeypatch.setattr(pii, "model_spans", lambda texts, _: [[(at, kind, at + len(whole)), *base]] * len(texts))
+    ((kept, added),) = pii.all_spans([text], object())
+    assert kept == base and len(added) <= 1
+    parts, end = [], 0
+    for a, k, b in sorted(kept + added):
+        if a >= end:
+            parts += [text[end:a], f"<{pii.KINDS[k].upper()}>"]
+        end = max(end, b)
+    assert "".join([*parts, text[end:]]) == out

@@ -4,8 +4,8 @@ The patterns find what they define, in time that grows with the text alone. A bi
 with CRF transitions is trained from the spans they label in a bounded sample of windows. It reads
 windows that overlap, wherever a text has a digit or an @, without which no kind can be; the
 scores of overlapping windows are averaged, each weighing most in its middle, and one path is
-decoded over the whole stretch. A span it adds touches no base span and must still look like its
-kind; base spans always stay.
+decoded over the whole stretch. A span it adds must still look like its kind and either touches no
+base span or contains those it touches, one of its kind among them; base spans always stay.
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
+_EXTENSION = re.compile(r",? ?(?:x|ext\.?|extension) ?[0-9]{1,6}$", re.IGNORECASE)
 
 
 def _digits(text: str) -> str:
@@ -171,7 +172,8 @@ def _looks_right(kind: int, text: str) -> bool:
         )
     if kind == 2:
         return 14 <= len(digits) <= 19 and luhn(digits) and not re.search(r"[^0-9 ./-]", text)
-    return 10 <= len(digits) <= 15 and bool(re.search(r"[(+]", text)) and not re.search(r"[^0-9 ().+/-]", text)
+    number = _EXTENSION.sub("", text)
+    return 10 <= len(_digits(number)) <= 15 and bool(re.search(r"[(+]", number)) and not re.search(r"[^0-9 ().+/-]", number)
 
 
 _WEIGHT = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(float)
@@ -207,6 +209,14 @@ def model_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
     return out
 
 
+def _adds(span: Span, base: list[Span]) -> bool:
+    """Whether a span touches no base span, or contains all that it touches and extends one of its kind."""
+    a, kind, b = span
+    touched = [s for s in base if s[0] < b and a < s[2]]
+    inside = all(a <= x and y <= b for x, _, y in touched)
+    return not touched or (inside and span not in touched and any(k == kind for _, k, _ in touched))
+
+
 def all_spans(texts: list[str | None], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text."""
     base = [base_spans(t) for t in texts]
@@ -219,7 +229,7 @@ def all_spans(texts: list[str | None], tagger: Tagger | None) -> list[tuple[list
                 b -= 1
             while a < b and text[a] in " .,;:\n\t":
                 a += 1
-            if b > a and _looks_right(kind, text[a:b]) and not any(x < b and a < y for x, _, y in base[i]):
+            if b > a and _looks_right(kind, text[a:b]) and _adds((a, kind, b), base[i]):
                 added[i].append((a, kind, b))
     return list(zip(base, added))
 
