@@ -1,11 +1,11 @@
-"""SimHash fingerprints and near copies by multi-index hashing.
-
-A fingerprint is cut into two segments of 32 bits. Two fingerprints that differ in at most two
-bits differ by at most one bit in one of them after at most one bit of the other has been
-changed, so it is enough to enumerate the ball of radius one within each segment, with the other
-segment as it is, and to look the results up in one table for both. A table entry can hold no
-more than 65 fingerprints, however many documents are near copies of each other: they all lie
-within one bit of the entry. Only different fingerprints are indexed.
+"""SimHash fingerprints and near copies by neighbours at one bit.
+
+Two fingerprints that differ in at most two bits have a neighbour in common that differs from
+each by at most one, so it is enough to enumerate the ball of radius one around each and to look
+the results up in one table, keyed by the whole fingerprint. There are no tables keyed by segments,
+as multi-index hashing has: a segment that many fingerprints share would have to be split. A
+table entry can hold no more than 65 fingerprints, however many documents are near copies of
+each other: they all lie within one bit of the entry. Only different fingerprints are indexed.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def near_fingerprints(prints: DataFrame) -> DataFrame:
         prints.distinct()
         .select(F.col(name).alias("b"))
         .withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(BITS))))
-        # Places 0 to 31 change a bit of the low segment, 32 to 63 one of the high segment.
+        # Places 0 to 63 change a bit each; the last changes none.
         .selectExpr("b", f"IF(place = {BITS}, b, b ^ shiftleft(1L, place)) AS entry")
     )
     linked = found.withColumn("a", F.min("b").over(Window.partitionBy("entry")))
