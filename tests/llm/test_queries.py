@@ -24,12 +24,15 @@ COLUMNS = {
     8: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     9: ["query_id", "rank", "vec_id", "score"],
     10: ["page_id", "url", "text", "n_chars"],
+    11: ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    12: ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    13: ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
 }
 
 
 def test_one_query_for_each_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert sorted(numbers) == list(range(1, 12)) and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -37,7 +40,7 @@ def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, SMALL)
     number = int(re.match(r"op(\d+)_", name)[1])
     assert set(COLUMNS[number]) <= set(df.columns)
-    table = {2: "embeddings", 9: None, 5: None, 10: "pages", 6: None}.get(number, "documents")
+    table = {2: "embeddings", 9: None, 5: None, 10: "pages", 6: None, 11: None, 13: None}.get(number, "documents")
     rows = df.count()
     assert rows > 0 and (table is None or rows == spark.read.parquet(f"{SMALL}/{table}.parquet").count())
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
-    cover_search, lattice_links, page_wrappers, personal_data, rank_bpe, rule_quality, simhash_index, suffix_radix,
-    token_packing, warc_derivatives,
+    cover_search, lattice_links, page_wrappers, personal_data, prefix_trie, rank_bpe, rule_quality, simhash_index,
+    suffix_radix, token_packing, warc_derivatives,
 )
 from tideline.llm.tables import load
 
@@ -135,3 +135,53 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {cover_search.TOP}"""
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(load(spark, sf_dir, "conversations"))
+
+
+# The CRC-32 of an id's digits, bit by bit: the reversed polynomial is 0xEDB88320.
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(length(CAST(c AS VARCHAR))),
+  lambda i: CAST(ascii(substr(CAST(c AS VARCHAR), i + 1, 1)) AS BIGINT))), lambda a, x: list_reduce(
+  list_concat([xor(a, x)], range(8)), lambda r, j: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END))),
+  4294967295)"""
+SQL["op11_prefix_trie"] = f"""WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS whole
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT c, list(md5(whole) ORDER BY turn NULLS FIRST, md5(whole)) AS turns,
+         list(CAST(strlen(text) AS BIGINT) ORDER BY turn NULLS FIRST, md5(whole)) AS sizes
+  FROM t GROUP BY c
+),
+heads AS (SELECT c, turns, sizes, {_CRC} % 9 AS h FROM own),
+made AS (
+  SELECT a.c, list_concat(coalesce(b.turns[:a.h], []), a.turns[a.h + 1:]) AS turns,
+         list_concat(coalesce(b.sizes[:a.h], []), a.sizes[a.h + 1:]) AS sizes
+  FROM heads a LEFT JOIN heads b ON b.c = a.c - a.c % 5
+),
+levels AS (SELECT c, turns, sizes, unnest(range(len(turns) + 1)) AS depth FROM made),
+members AS (
+  SELECT c, depth, turns[:depth] AS prefix, turns[:depth - 1] AS above, coalesce(sizes[depth], 0) AS bytes,
+         len(turns) = depth AS ends
+  FROM levels
+),
+nodes AS (
+  SELECT prefix, depth, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes, any_value(above) AS above,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY prefix, depth
+),
+kids AS (SELECT above AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above),
+full_nodes AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (prefix)),
+lines AS (SELECT *, unnest(range(depth + 1)) AS up FROM full_nodes),
+sums AS (
+  SELECT prefix[:up] AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum((n_convs - 1) * bytes) AS saved_tokens
+  FROM lines GROUP BY 1
+)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN sums s USING (prefix) LEFT JOIN nodes p ON f.depth > 0 AND p.prefix = f.above"""
