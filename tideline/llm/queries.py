@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
-    cover_search, lattice_links, page_wrappers, personal_data, prefix_trie, rank_bpe, rule_quality, simhash_index,
-    suffix_radix, token_packing, warc_derivatives,
+    cover_search, lattice_links, page_wrappers, personal_data, phrase_mining, prefix_trie, rank_bpe, rule_quality,
+    simhash_index, suffix_radix, token_packing, warc_derivatives,
 )
 from tideline.llm.tables import load
 
@@ -185,3 +185,45 @@ sums AS (
 SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
        CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
 FROM full_nodes f JOIN sums s USING (prefix) LEFT JOIN nodes p ON f.depth > 0 AND p.prefix = f.above"""
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return phrase_mining.collocations(load(spark, sf_dir, "documents"))
+
+
+SQL["op13_collocations"] = """WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents WHERE text IS NOT NULL
+),
+pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM worded, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+),
+f AS (SELECT lang, phrase, k, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS k FROM f WHERE k > 1),
+halves AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, 2000000 * c.a // (l.f + r.f) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+),
+best AS (
+  SELECT * FROM halves QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+longer AS (SELECT lang, f, string_split(phrase, ' ') AS w FROM f WHERE k > 2),
+sized AS (SELECT *, unnest(range(2, len(w))) AS size FROM longer),
+inside AS (SELECT lang, f, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase FROM sized),
+most AS (SELECT lang, phrase, max(f) AS most FROM inside GROUP BY ALL),
+kept AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM best b LEFT JOIN most m USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+       CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) WHERE rank <= 2000"""
