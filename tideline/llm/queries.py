@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import (
     cover_search, lattice_links, page_wrappers, personal_data, phrase_mining, prefix_trie, rank_bpe, rule_quality,
-    simhash_index, suffix_radix, token_packing, warc_derivatives,
+    secret_models, simhash_index, suffix_radix, token_packing, warc_derivatives,
 )
 from tideline.llm.tables import load
 
@@ -227,3 +227,9 @@ kept AS (
 SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
        CAST(score AS BIGINT) AS score
 FROM kept JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query
+def op12_secrets(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return secret_models.detect(docs, secret_models.train(docs))
