@@ -46,14 +46,26 @@ numbered AS (
   FROM found
 ),
 spans AS (SELECT r, min(i) AS s, max(i) + 400 AS e FROM numbered GROUP BY r, run),
-gaps AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS since FROM spans),
+-- As text, a character that would go in part stays: starts move on and ends back to where one begins.
+whole AS (
+  SELECT r, s, e, s + length(regexp_extract(substr(h, 2 * s + 1, 6), '^([89AB].)*')) // 2 AS cs,
+         CASE WHEN substr(h, 2 * e + 1, 1) IN ('8', '9', 'A', 'B')
+              THEN e - 1 - length(regexp_extract(substr(h, 2 * e - 5, 6), '([89AB].)*$')) // 2 ELSE e END AS ce
+  FROM spans JOIN sized USING (r)
+),
+gaps AS (
+  SELECT *, coalesce(lag(e) OVER w, 0) AS since, coalesce(lag(ce) OVER w, 0) AS csince
+  FROM whole WINDOW w AS (PARTITION BY r ORDER BY s)
+),
 cut AS (
-  SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
-         string_agg(substr(h, 2 * since + 1, 2 * (s - since)), '' ORDER BY s) AS kept
+  SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last, max(ce) AS clast,
+         string_agg(substr(h, 2 * since + 1, 2 * (s - since)), '' ORDER BY s) AS kept,
+         string_agg(substr(h, 2 * csince + 1, 2 * (cs - csince)), '' ORDER BY s) AS ckept
   FROM gaps JOIN sized USING (r) GROUP BY r
 )
 SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256,
+       decode(unhex(CASE WHEN last IS NULL THEN h ELSE ckept || substr(h, 2 * clast + 1) END)) AS text
 FROM sized LEFT JOIN cut USING (r)"""
 
 

@@ -287,9 +287,10 @@ def _first_passes(found: DataFrame, depth: Depth, used: list[Stored]) -> DataFra
         .union(found.where("until IS NOT NULL").select("key", "place", F.lit(_REMOVE), none, "until"))
     )
     told = told.withColumns(_unpacked("place"))
+    # Rows that are the same in all columns share their key and say the same: a set has it once.
     end = F.coalesce("until", F.col("first") + F.col("count") - 1 + depth.threshold)
     return told.groupBy("key", "tag").agg(
-        F.collect_list(F.struct("say", "first", end.alias("until"), "offset", "gram")).alias("told")
+        F.collect_set(F.struct("say", "first", end.alias("until"), "offset", "gram")).alias("told")
     )
 
 
@@ -331,19 +332,19 @@ def cut_text(data: bytes, start: np.ndarray, end: np.ndarray) -> str:
     return cut_out(data, s, e).decode()
 
 
-_OUT_SCHEMA = "n_bytes long, n_removed long, n_spans long, kept string"
-_OUT_NAMES = ["n_bytes", "n_removed", "n_spans", "kept"]
+_OUT_SCHEMA = "n_bytes long, n_removed long, n_spans long, kept string, kept_sha256 string"
+_OUT_NAMES = ["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
 
 
-def _results(bodies: list[bytes], spans: list[tuple[np.ndarray, np.ndarray]], as_text: bool) -> list[pa.Array]:
-    kept = [
-        cut_text(b, s, e) if as_text else hashlib.sha256(cut_out(b, s, e)).hexdigest() for b, (s, e) in zip(bodies, spans)
-    ]
+def _results(bodies: list[bytes], spans: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+    kept = [cut_text(b, s, e) for b, (s, e) in zip(bodies, spans)]
+    digests = [hashlib.sha256(cut_out(b, s, e)).hexdigest() for b, (s, e) in zip(bodies, spans)]
     return [
         _long(np.array([len(b) for b in bodies])),
         _long(np.array([int((e - s).sum()) for s, e in spans])),
         _long(np.array([len(s) for s, _ in spans])),
         pa.array(kept, pa.string()),
+        pa.array(digests, pa.string()),
     ]
 
 
@@ -358,7 +359,7 @@ def _lists(column: pa.Array, fields: tuple[str, ...]) -> Iterator[tuple[np.ndarr
         at += n
 
 
-def _open_texts(texts: DataFrame, depth: Depth, as_text: bool) -> DataFrame:
+def _open_texts(texts: DataFrame, depth: Depth) -> DataFrame:
     """Results of the texts that are settled; the others keep their bytes and get their pieces."""
     pieces_type = pa.list_(
         pa.struct([("gram", pa.int64()), ("core", pa.int64()), ("whole", pa.int64()), ("first", pa.int32()),
@@ -408,7 +409,7 @@ def _open_texts(texts: DataFrame, depth: Depth, as_text: bool) -> DataFrame:
             names = ["rest", "key", "tag", *_OUT_NAMES, "body", "known", "pieces"]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("rest"), batch.column("key"), batch.column("tag"), *_results(bodies, spans, as_text),
+                    batch.column("rest"), batch.column("key"), batch.column("tag"), *_results(bodies, spans),
                     pa.array([b if w else None for b, w in zip(bodies, wide)], pa.binary()),
                     pa.array(known, intervals_type),
                     pa.ListArray.from_arrays(_int(np.append(0, ends)), structs),
@@ -437,10 +438,10 @@ def _last_passes(opened: DataFrame, depth: Depth, used: list[Stored]) -> DataFra
         .select("key", "tag", (F.col("first") + F.col("nth")).alias("first"))
         .withColumn("until", F.col("first") + depth.threshold)
     )
-    return settled.union(last).groupBy("key", "tag").agg(F.collect_list(F.struct("first", "until")).alias("added"))
+    return settled.union(last).groupBy("key", "tag").agg(F.collect_set(F.struct("first", "until")).alias("added"))
 
 
-def _closed_texts(opened: DataFrame, schema_of: DataFrame, as_text: bool) -> DataFrame:
+def _closed_texts(opened: DataFrame, schema_of: DataFrame) -> DataFrame:
     schema = f"rest {schema_of.schema['rest'].dataType.simpleString()}, {_OUT_SCHEMA}"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,7 +450,7 @@ def _closed_texts(opened: DataFrame, schema_of: DataFrame, as_text: bool) -> Dat
             spans = [
                 merged(np.append(a[0], b[0]).astype(np.int64), np.append(a[1], b[1]).astype(np.int64)) for a, b in both
             ]
-            out = _results(batch.column("body").to_pylist(), spans, as_text)
+            out = _results(batch.column("body").to_pylist(), spans)
             yield pa.RecordBatch.from_arrays([batch.column("rest"), *out], names=["rest", *_OUT_NAMES])
 
     return opened.select("rest", "body", "known", "added").mapInArrow(task, schema)
@@ -460,15 +461,15 @@ def _dropped(used: list[Stored]) -> None:
         used.pop().drop()
 
 
-def without_repeats(docs: DataFrame, text: str = "text", depth: Depth = Depth(), as_text: bool = True) -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", depth: Depth = Depth()) -> DataFrame:
     """Each row of ``docs`` without the bytes of strings as long as the threshold that stand elsewhere too.
 
     Elsewhere is any other place of any text, the same text included; places may overlap, and all
     of them are judged on the input. The result has the columns of ``docs`` but ``text`` in a
-    struct ``rest``, and ``n_bytes, n_removed, n_spans, kept``: the UTF-8 length, how many bytes and
-    maximal runs go, and what is left, as text or else as the SHA-256 of its bytes. As text, a
-    character that would go in part stays. Null texts count as empty; rows that are the same in
-    all columns count as texts of their own, so both lose what is long enough.
+    struct ``rest``, and ``n_bytes, n_removed, n_spans, kept, kept_sha256``: the UTF-8 length, how
+    many bytes and maximal runs go, what is left as text, where a character that would go in part
+    stays, and the SHA-256 of the bytes that are left. Null texts count as empty; rows that are the
+    same in all columns count as texts of their own, so all lose what is long enough.
     """
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
@@ -483,17 +484,20 @@ def without_repeats(docs: DataFrame, text: str = "text", depth: Depth = Depth(),
     found = _kept(_run_rows(texts.where(F.length("body") >= depth.threshold), depth), "runs", used)
     told = Stored(_first_passes(found, depth, used), "told")
     _dropped(used)
-    opened = Stored(_open_texts(texts.join(told.df, ["key", "tag"], "left"), depth, as_text), "opened").df
+    opened = Stored(_open_texts(texts.join(told.df, ["key", "tag"], "left"), depth), "opened").df
     told.drop()
     added = Stored(_last_passes(opened, depth, used), "added").df
     _dropped(used)
     unsettled = opened.where("body IS NOT NULL").select("rest", "key", "tag", "body", "known")
-    closed = _closed_texts(unsettled.join(added, ["key", "tag"], "left"), opened, as_text)
+    closed = _closed_texts(unsettled.join(added, ["key", "tag"], "left"), opened)
     return opened.where("body IS NULL").select("rest", *_OUT_NAMES).union(closed)
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: Depth = Depth()) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, one row per row of ``docs``."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text``, one row per row of ``docs``.
+
+    ``text`` is what is left, as :func:`without_repeats` has it.
+    """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    out = without_repeats(plain, "text", depth, as_text=False)
-    return out.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+    out = without_repeats(plain, "text", depth)
+    return out.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept").alias("text"))
