@@ -23,6 +23,7 @@ and are safe to broadcast. Without hot entities none of this enters the plan.
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
@@ -126,17 +127,19 @@ class Axis:
         return entity, kept, last or 0, -(-wanted // parts)
 
 
-def cut(df: DataFrame, axis: Axis, before: int = 0, after: int = 0) -> DataFrame:
+def cut(df: DataFrame, axis: Axis, before: int = 0, after: int = 0, reach: int = 0) -> DataFrame:
     """``df`` with block columns, ready for frames of ``before`` rows back and ``after`` ahead.
 
-    Rows near a cut appear in more than one block; :func:`home_rows` keeps each once.
+    ``reach`` adds the rows within that much time back, however many they are, in the numbers of
+    :func:`ticks_of`. Rows near a cut appear in more than one block; :func:`home_rows` keeps each
+    once.
     """
     axis = axis.measured(df)
     zero = F.lit(0).cast("bigint")
     if not axis.hot:
         return df.withColumns({BLOCK: zero, HOME: zero, START: zero})
     sliced = _add_slice(df, axis)
-    directory = _block_directory(sliced, axis, before, after)
+    directory = _block_directory(sliced, axis, before, after, reach)
     keys = [axis.entity, SLICE]
     if axis.single:
         directory, keys = directory.drop(axis.entity), [SLICE]
@@ -191,6 +194,25 @@ def add_block_offsets(df: DataFrame, axis: Axis, local: str, out: str) -> DataFr
     )
 
 
+def carry(df: DataFrame, laid: DataFrame, axis: Axis, value: str, into: str, ahead: bool = False) -> DataFrame:
+    """``df`` with ``into`` filled, where it is NULL, by the last ``value`` of the blocks before.
+
+    ``laid`` is the panel laid out by :func:`cut` that ``df`` was made from, where ``value`` is
+    NULL in rows that know none; ``ahead`` looks for the first one of the blocks after instead.
+    Only blocks of hot entities have others, at most ``max_blocks``.
+    """
+    if not axis.hot:
+        return df
+    known = F.when(F.col(value).isNotNull(), F.col(axis.time))
+    edge = (F.min_by if ahead else F.max_by)(value, known)
+    order = F.col(BLOCK).desc() if ahead else F.col(BLOCK).asc()
+    passed = Window.partitionBy(axis.entity).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ends = laid.groupBy(*axis.block_keys()).agg(edge.alias("_edge"))
+    carried = ends.withColumn("_carried", F.last("_edge", ignorenulls=True).over(passed)).drop("_edge")
+    filled = _looked_up(df, carried.where(F.col("_carried").isNotNull()), axis.block_keys())
+    return filled.withColumn(into, F.coalesce(into, "_carried")).drop("_carried")
+
+
 def _looked_up(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with the other columns of a small ``table`` at equal keys, where NULL equals NULL."""
     renamed = {k: f"_{k}_of_table" for k in keys}
@@ -202,18 +224,28 @@ def _looked_up(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
 
 def _ticks(df: DataFrame, axis: Axis) -> Column:
     """Time as a whole number."""
-    kind = df.schema[axis.time].dataType
+    return ticks_of(F.col(axis.time), df.schema[axis.time].dataType)
+
+
+def reach_of(df: DataFrame, axis: Axis, span: datetime.timedelta) -> int:
+    """A span of time in the whole numbers of :func:`ticks_of`."""
+    if isinstance(df.schema[axis.time].dataType, T.DateType):
+        return span.days
+    return span // datetime.timedelta(microseconds=1)
+
+
+def ticks_of(time: Column, kind: T.DataType) -> Column:
+    """Times as whole numbers: days of dates, microseconds of timestamps."""
     if isinstance(kind, T.DateType):
-        return F.unix_date(axis.time).cast("bigint")
+        return F.unix_date(time).cast("bigint")
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(axis.time)
+        return F.unix_micros(time)
     if isinstance(kind, T.TimestampNTZType):
         # Without a time zone, whose clock changes would put rows out of order.
-        time = F.col(axis.time)
         minutes = F.unix_date(time.cast("date")).cast("bigint") * 1440 + F.hour(time) * 60
         micros = (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("bigint")
         return (minutes + F.minute(time)) * 60_000_000 + micros
-    return F.col(axis.time).cast("bigint")
+    return time.cast("bigint")
 
 
 def _add_slice(df: DataFrame, axis: Axis) -> DataFrame:
@@ -254,13 +286,13 @@ def _add_slice(df: DataFrame, axis: Axis) -> DataFrame:
     )
 
 
-def _block_directory(sliced: DataFrame, axis: Axis, before: int, after: int) -> DataFrame:
+def _block_directory(sliced: DataFrame, axis: Axis, before: int, after: int, reach: int) -> DataFrame:
     """One row per slice of a hot entity: first row, own block, and all blocks that read it."""
     ordered = Window.partitionBy(axis.entity).orderBy(SLICE)
     counted = (
         sliced.where(F.col(SLICE).isNotNull())
         .groupBy(axis.entity, SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.max(_ticks(sliced, axis)).alias("_high"))
         .withColumn("_end", F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn(START, F.col("_end") - F.col("_n"))
         .withColumn(HOME, F.floor(F.col(START) / axis.block_rows))
@@ -268,16 +300,21 @@ def _block_directory(sliced: DataFrame, axis: Axis, before: int, after: int) ->
         .withColumn("_prev", F.lag(HOME).over(ordered))
     )
     readers = [F.array(HOME)]
+    opens = F.when(F.col("_next") != F.col(HOME), F.col("_next"))
     if before > 0:
         # Later blocks that start within `before` rows of this slice's end.
-        reach = Window.partitionBy(axis.entity).orderBy("_end").rangeBetween(0, before - 1)
-        opens = F.when(F.col("_next") != F.col(HOME), F.col("_next"))
-        readers.append(F.collect_list(opens).over(reach))
+        rows = Window.partitionBy(axis.entity).orderBy("_end").rangeBetween(0, before - 1)
+        readers.append(F.collect_list(opens).over(rows))
+    if reach > 0:
+        # Later blocks that may start within `reach` of this slice's last time: the slice before
+        # such a block ends no later than the block starts.
+        times = Window.partitionBy(axis.entity).orderBy("_high").rangeBetween(0, reach)
+        readers.append(F.collect_list(opens).over(times))
     if after > 0:
         # Earlier blocks that end within `after` rows of this slice's start.
-        reach = Window.partitionBy(axis.entity).orderBy(START).rangeBetween(-(after - 1), 0)
+        rows = Window.partitionBy(axis.entity).orderBy(START).rangeBetween(-(after - 1), 0)
         closes = F.when(F.col("_prev") != F.col(HOME), F.col("_prev"))
-        readers.append(F.collect_list(closes).over(reach))
-    return counted.withColumn("_blocks", F.concat(*readers)).select(
+        readers.append(F.collect_list(closes).over(rows))
+    return counted.withColumn("_blocks", F.array_distinct(F.concat(*readers))).select(
         axis.entity, SLICE, START, HOME, "_blocks"
     )
