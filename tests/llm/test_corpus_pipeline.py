@@ -21,7 +21,7 @@ def plain_run(spark, sf_dir):
     rows = {r.doc_id: r.text for r in docs.collect()}
     rows = {i: t for i, t in rows.items() if model.score(np.array([rule_quality.statistics(t)]))[0] >= 0.3}
     rows = {i: rows[i] for i, _, first in brute_classes(list(rows.items())) if i == first}
-    spans = covered([(t or "").encode() for t in rows.values()], 400)
+    spans = covered([(t or "").encode() for t in rows.values()], 200)
     rows = {i: suffix_radix.cut_text((t or "").encode(), s, e) for (i, t), (s, e) in zip(rows.items(), spans)}
     cleaned = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     tagger = personal_data.train(cleaned)
