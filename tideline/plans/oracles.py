@@ -924,3 +924,117 @@ sql(
     f"""SELECT exp_id, exp_id || '_r' || CAST(user_id AS VARCHAR) AS run_id,
     CAST(user_id AS INTEGER) AS run_idx, {rounded('wall_seconds', 'step3_s')} FROM runs""",
 )
+
+# --- as-of joins, spans of time, intervals, global ranks, streams -------------------------
+
+sql(
+    "ticks_asof_regime",
+    f"""WITH daily AS (
+  SELECT event_type, CAST(ts AS DATE) + 1 AS known_day, sum(round(value * 100)) / count(*) AS mean FROM events GROUP BY 1, 2
+),
+known AS (
+  SELECT event_type, known_day, CASE WHEN mean < 1900 THEN '{REGIMES[0]}' WHEN mean < 2100 THEN '{REGIMES[1]}'
+         ELSE '{REGIMES[2]}' END AS regime FROM daily
+)""",
+    """SELECT event_id, CAST(known_day AS DATE) AS known_day, regime FROM events e ASOF LEFT JOIN known k
+    ON e.event_type = k.event_type AND e.ts >= k.known_day""",
+)
+sql(
+    "ticks_asof_next_purchase",
+    """WITH bought AS (
+  SELECT user_id, ts, max(event_id) AS purchase FROM events WHERE event_type = 'purchase' GROUP BY 1, 2
+)""",
+    """SELECT event_id, CASE WHEN b.ts <= e.ts + INTERVAL 2 DAYS THEN purchase END AS purchase
+    FROM events e ASOF LEFT JOIN bought b ON e.user_id = b.user_id AND e.ts < b.ts""",
+)
+_SPANS = {"7d": (6, 7, 5), "30d": (29, 30, 10)}
+_CALENDAR = ", ".join(
+    f"""avg(px) OVER p{tag} AS price_mean_{tag}, stddev_samp(px) OVER p{tag} AS price_std_{tag},
+    count(px) OVER p{tag} AS price_count_{tag}, avg(ret_1d) OVER r{tag} AS ret_mean_{tag},
+    stddev_samp(ret_1d) OVER r{tag} AS ret_std_{tag}, count(ret_1d) OVER r{tag} AS ret_count_{tag}"""
+    for tag in _SPANS
+)
+_FRAMES = ", ".join(
+    f"""p{tag} AS (PARTITION BY ent ORDER BY tm RANGE BETWEEN INTERVAL {now} DAYS PRECEDING AND CURRENT ROW),
+    r{tag} AS (PARTITION BY ent ORDER BY tm RANGE BETWEEN INTERVAL {back} DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING)"""
+    for tag, (now, back, _) in _SPANS.items()
+)
+sql(
+    "calendar_features",
+    "WITH " + BARS + ",\n" + KEYED + f""",
+before AS (SELECT *, lag(px) OVER (PARTITION BY ent ORDER BY tm) AS px_before FROM keyed),
+returned AS (SELECT *, {LOG_RETURN} AS ret_1d FROM before),
+rolled AS (SELECT *, {_CALENDAR} FROM returned WINDOW {_FRAMES}),
+scored AS (SELECT *, """ + ", ".join(
+        f"""CASE WHEN ret_count_{tag} >= {least} AND ret_std_{tag} >= 0.0001
+        THEN (ret_1d - ret_mean_{tag}) / ret_std_{tag} END AS zscore_{tag}""" for tag, (_, _, least) in _SPANS.items()
+    ) + " FROM rolled)",
+    f"SELECT {BAR_COLUMNS}, {rounded('ret_1d')}, " + ", ".join(
+        f"""{rounded(*[f'{p}_{s}_{tag}' for p in ('price', 'ret') for s in ('mean', 'std')], f'zscore_{tag}')},
+        price_count_{tag}, ret_count_{tag}""" for tag in _SPANS
+    ) + " FROM scored",
+)
+_HOURS = {"6h": 6, "24h": 24}
+sql(
+    "ticks_calendar_statistics",
+    "WITH rolled AS (SELECT event_id, " + ", ".join(
+        f"""avg(value) OVER w{tag} AS value_mean_{tag}, stddev_samp(value) OVER w{tag} AS value_std_{tag},
+        count(value) OVER w{tag} AS value_count_{tag}""" for tag in _HOURS
+    ) + " FROM (SELECT * REPLACE (round(value * 100) AS value) FROM events) WINDOW " + ", ".join(
+        f"""w{tag} AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN
+        INTERVAL {n * 3_600_000_000 - 1} MICROSECONDS PRECEDING AND CURRENT ROW)""" for tag, n in _HOURS.items()
+    ) + ")",
+    "SELECT event_id, " + ", ".join(
+        f"{rounded(f'value_mean_{tag}', f'value_std_{tag}')}, value_count_{tag}" for tag in _HOURS
+    ) + " FROM rolled",
+)
+sql(
+    "overlapping_runs",
+    NEXT + """,
+spans AS (
+  SELECT symbol, regime, regime_group_id AS run, min("Date") AS first_day, max("Date") AS last_day
+  FROM numbered GROUP BY ALL
+)""",
+    """SELECT a.regime, a.run AS lead_run, b.symbol, b.run, greatest(a.first_day, b.first_day) AS from_day,
+    least(a.last_day, b.last_day) AS to_day FROM spans a JOIN spans b ON a.regime = b.regime
+    AND a.first_day <= b.last_day AND b.first_day <= a.last_day WHERE a.symbol = 'S1' AND b.symbol <> 'S1'""",
+)
+sql(
+    "global_value_ranks",
+    """WITH ranked AS (SELECT event_id, rank() OVER w AS rank, percent_rank() OVER w AS percent_rank,
+  cume_dist() OVER w AS cume_dist, count(*) OVER (PARTITION BY value) AS ties FROM events WINDOW w AS (ORDER BY value NULLS FIRST))""",
+    f"SELECT event_id, rank, ties, {rounded('percent_rank', 'cume_dist')} FROM ranked",
+)
+sql(
+    "global_value_tiles",
+    "WITH lines AS (SELECT l_orderkey * 8 + l_linenumber AS line, l_quantity FROM lineitem)",
+    """SELECT line, row_number() OVER w AS position, ntile(100) OVER w AS ntile
+    FROM lines WINDOW w AS (ORDER BY l_quantity NULLS FIRST, line)""",
+)
+sql(
+    "score_area_by_ranks",
+    SCORED + """,
+placed AS (SELECT label, rank() OVER (ORDER BY proba1) + (count(*) OVER (PARTITION BY proba1) - 1) / 2 AS middle FROM scored),
+sums AS (
+  SELECT sum(middle) FILTER (WHERE label > 0) AS s, count(*) FILTER (WHERE label > 0) AS p,
+         count(*) FILTER (WHERE label = 0) AS n FROM placed
+)""",
+    f"SELECT {r('(s - p * (p + 1) / 2) / (CAST(p AS DOUBLE) * n)', 'roc_auc')}, p AS positives, n AS negatives FROM sums",
+)
+_STREAMED = f"""WITH told AS (
+  SELECT *, CASE WHEN value < 20 THEN '{REGIMES[0]}' ELSE '{REGIMES[1]}' END AS regime FROM events
+)"""
+sql(
+    "ticks_streamed_run_ids",
+    _STREAMED + f""",
+paired AS (SELECT *, lag(regime) OVER (PARTITION BY event_type ORDER BY ts) AS regime_prev FROM told),
+changed AS (SELECT *, {CHANGED} AS is_transition FROM paired)""",
+    """SELECT event_id, regime_prev, is_transition, false AS late, CAST(sum(CASE WHEN is_transition THEN 1 ELSE 0 END)
+    OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS regime_group_id FROM changed""",
+)
+sql(
+    "ticks_streamed_breadth",
+    _STREAMED,
+    """SELECT CAST(ts AS DATE) AS day, regime, count(DISTINCT user_id) AS entities, CAST(count(*) AS BIGINT) AS rows
+    FROM told GROUP BY 1, 2 HAVING max(CAST(ts AS DATE)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+)

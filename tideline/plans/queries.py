@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -13,7 +14,8 @@ from pyspark.sql import types as T
 
 from tideline.functions import positive_probability
 from tideline.operators import (
-    breadth, cleaning, clusters, diagnostics, features, gauge, reshape, returns, runs, transitions,
+    asof, breadth, calendar, cleaning, clusters, diagnostics, features, gauge, intervals, ranking, reshape, returns, runs,
+    transitions,
 )
 from tideline.operators.layout import Axis
 from tideline.plans import panels, stages
@@ -21,6 +23,8 @@ from tideline.plans.panels import DAILY, LEAD, TICKS
 from tideline.session import materialise, scratch_path, stored
 from tideline.settings import FEATURES, REGIMES
 from tideline.sources import readers, writers
+from tideline.streaming import run_ids as streamed_runs
+from tideline.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1039,3 +1043,133 @@ def run_records_roundtrip(spark, sf_dir):
     return readers.read_runs(spark, base).select(
         "exp_id", "run_id", "run_idx", "wall_seconds", "step3_s"
     )
+
+
+# --- as-of joins, spans of time, intervals, global ranks, streams -------------------------
+
+
+def _daily_regimes(spark, sf_dir) -> DataFrame:
+    """A regime per event type and day, from its mean value; known from the next midnight on."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    daily = panels.table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        (F.sum(cents) / F.count(cents)).alias("mean")
+    )
+    regime = F.when(F.col("mean") < 1900, REGIMES[0]).when(F.col("mean") < 2100, REGIMES[1]).otherwise(REGIMES[2])
+    return daily.select("event_type", F.date_add("day", 1).alias("known_time"), regime.alias("regime"))
+
+
+@query
+def ticks_asof_regime(spark, sf_dir):
+    """Each event with the last daily regime of its type that was known by then."""
+    rows = panels.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    known = _daily_regimes(spark, sf_dir)
+    joined = asof.asof_join(rows, known, TICKS.measured(rows))
+    return joined.select("event_id", F.to_date("known_time").alias("known_day"), "regime")
+
+
+@query
+def ticks_asof_next_purchase(spark, sf_dir):
+    """Each event with the next one of its user that is a purchase, within two days."""
+    rows = panels.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    bought = panels.table(spark, sf_dir, "events").where("event_type = 'purchase'").groupBy("user_id", "ts").agg(
+        F.max("event_id").alias("purchase")
+    )
+    axis = Axis(entity="user_id", time="ts")
+    found = asof.asof_join(
+        rows, bought.withColumnRenamed("ts", "bought_at"), axis, "bought_at", "forward", exact=False,
+        within=datetime.timedelta(days=2),
+    )
+    return found.select("event_id", "purchase")
+
+
+@query
+def calendar_features(spark, sf_dir):
+    """Averages and z-scores of supplier bars over calendar days; most days are missing."""
+    return calendar.calendar_features(panels.ship_bars(spark, sf_dir), DAILY)
+
+
+@query
+def ticks_calendar_statistics(spark, sf_dir):
+    """Cents of an event type over the last six hours and the last day, cut into blocks by time."""
+    cents = F.round(F.col("value") * 100).alias("value")
+    rows = panels.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", cents)
+    spans = {"6h": datetime.timedelta(hours=6), "24h": datetime.timedelta(hours=24)}
+    found = calendar.span_statistics(rows, TICKS.measured(rows), "value", spans, "value")
+    return found.drop("event_type", "ts", "value")
+
+
+@query
+def overlapping_runs(spark, sf_dir):
+    """Runs of the same regime of the lead symbol and of others that share a day."""
+    rows = transitions.with_run_ids(labels_of(spark, sf_dir), DAILY)
+    spans = rows.groupBy("symbol", "regime", "regime_group_id").agg(
+        F.min("Date").alias("first_day"), F.max("Date").alias("last_day")
+    )
+    lead, others = spans.where(F.col("symbol") == LEAD), spans.where(F.col("symbol") != LEAD)
+    pairs = intervals.overlap_join(lead, others, "first_day", "last_day", ["regime"])
+    return pairs.select(
+        "a.regime", F.col("a.regime_group_id").alias("lead_run"), F.col("b.symbol").alias("symbol"),
+        F.col("b.regime_group_id").alias("run"),
+        F.greatest("a.first_day", "b.first_day").alias("from_day"), F.least("a.last_day", "b.last_day").alias("to_day"),
+    )
+
+
+@query
+def global_value_ranks(spark, sf_dir):
+    """Rank of every event's value among all events."""
+    rows = panels.table(spark, sf_dir, "events").select("event_id", "value")
+    return ranking.global_ranks(rows, "value").drop("value")
+
+
+@query
+def global_value_tiles(spark, sf_dir):
+    """Place of every line item by quantity, which only fifty values share out, and its percentile."""
+    rows = panels.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"), "l_quantity"
+    )
+    return ranking.global_positions(rows, "l_quantity", "line", tiles=100).drop("l_quantity")
+
+
+@query
+def score_area_by_ranks(spark, sf_dir):
+    return ranking.roc_area(rule_scores(spark, sf_dir), "proba1")
+
+
+def _streamed(spark, sf_dir, of) -> DataFrame:
+    """What a stream over the events, a file for each ten days, has written when it has read all."""
+    base = scratch_path(spark, "stream")
+    rows = panels.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "user_id", _tick_regime())
+    # Files are read in the order they were written.
+    for low, high in ((1, 10), (11, 20), (21, 31)):
+        part = rows.where(F.dayofmonth("ts").between(low, high))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    before = {k: spark.conf.get(k, None) for k in streamed_runs.STATE_STORE}
+    for k, v in streamed_runs.STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        windows.bring_in(of(feed), f"{base}/out", f"{base}/checkpoint")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.read.parquet(f"{base}/out")
+
+
+def _tick_regime() -> Column:
+    return F.when(F.col("value") < 20, REGIMES[0]).otherwise(REGIMES[1]).alias("regime")
+
+
+@query
+def ticks_streamed_run_ids(spark, sf_dir):
+    """Run ids of event types from a stream of three micro-batches."""
+    found = _streamed(spark, sf_dir, lambda feed: streamed_runs.stream_run_ids(feed, "event_type", "ts"))
+    return found.select("event_id", "regime_prev", "is_transition", "regime_group_id", "late")
+
+
+@query
+def ticks_streamed_breadth(spark, sf_dir):
+    """Users per day and regime from a stream; the windows that the watermark has passed."""
+    found = _streamed(
+        spark, sf_dir, lambda feed: windows.breadth_per_window(feed, "1 day", None, "1 hour", "user_id", "ts")
+    )
+    return found.select(F.to_date("window_start").alias("day"), "regime", "entities", "rows")

@@ -11,6 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _watched(rows: DataFrame, time: str, delay: str) -> DataFrame:
+    """Rows that have a time, as an instant in the session's time zone; watched for late ones in a stream."""
+    timed = rows.withColumn(time, F.col(time).cast("timestamp"))
+    timed = timed.withWatermark(time, delay) if rows.isStreaming else timed
+    return timed.where(F.col(time).isNotNull())
+
+
 def breadth_per_window(
     labels: DataFrame, size: str, slide: str | None = None, delay: str = "0 seconds", entity: str = "symbol", time: str = "Date"
 ) -> DataFrame:
@@ -19,9 +26,9 @@ def breadth_per_window(
     ``entities`` counts different ones, exactly: rows are first reduced to one per window, regime
     and entity, so the state of a window is as large as its entities and not its rows. Append mode.
     """
-    kept = labels.withWatermark(time, delay) if labels.isStreaming else labels
+    kept = _watched(labels, time, delay)
     windows = F.window(time, size, slide) if slide else F.window(time, size)
-    by_entity = kept.where(F.col(time).isNotNull()).groupBy(windows.alias("w"), "regime", entity).agg(F.count(F.lit(1)).alias("rows"))
+    by_entity = kept.groupBy(windows.alias("w"), "regime", entity).agg(F.count(F.lit(1)).alias("rows"))
     counted = by_entity.groupBy("w", "regime").agg(
         F.count(entity).alias("entities"), F.sum("rows").alias("rows")
     )
@@ -35,8 +42,8 @@ def sessions(rows: DataFrame, gap: str, delay: str = "0 seconds", entity: str =
 
     A session ends ``gap`` after its last row. Append mode.
     """
-    kept = rows.withWatermark(time, delay) if rows.isStreaming else rows
-    grouped = kept.where(F.col(time).isNotNull()).groupBy(F.session_window(time, gap).alias("w"), entity)
+    kept = _watched(rows, time, delay)
+    grouped = kept.groupBy(F.session_window(time, gap).alias("w"), entity)
     return grouped.agg(F.count(F.lit(1)).alias("rows")).select(
         entity, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "rows"
     )
