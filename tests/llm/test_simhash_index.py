@@ -94,11 +94,38 @@ def test_all_links_at_two_bits(spark):
     assert {p: got.get(p, p) for p in values} == want
 
 
-def test_one_table_entry_is_bounded_in_a_large_group(spark):
-    prints = [(p,) for p in range(4096)]  # all within twelve bits
-    edges = sim.near_fingerprints(spark.createDataFrame(prints, "fingerprint long"))
-    assert edges.count() <= 65 * len(prints)
-    assert components(edges).select("component").distinct().count() == 1
+def pairs(prints):
+    return {(a, b) for a in prints for b in prints if a < b and ((a ^ b) % 2**64).bit_count() <= 2}
+
+
+def test_all_pairs_once_however_small_the_entries_are(spark):
+    rng = random.Random(3)
+    low, high = rng.getrandbits(32), rng.getrandbits(32) << 32
+    prints = {low | rng.getrandbits(12) << 32 for _ in range(150)} | {high | rng.getrandbits(9) for _ in range(150)}
+    prints |= {high | low, 0} | {(high | low) ^ (1 << a) ^ (1 << b) for a in range(0, 64, 9) for b in range(0, 64, 7)}
+    values = [p - 2**64 if p >> 63 else p for p in prints]
+    table = spark.createDataFrame([(v,) for v in values] * 2 + [(None,)], "fingerprint long")
+    for work in (sim.WORK, 2000, 0):
+        got = [tuple(r) for r in sim.near_fingerprints(table, work).collect()]
+        assert len(got) == len(set(got)) and set(got) == pairs(values)
+
+
+def test_a_segment_that_many_share_is_split(spark):
+    rng = random.Random(8)
+    shared = sorted({7 | rng.getrandbits(32) << 32 for _ in range(100_000)})
+    planted = {7 | 1 << 40: 5 | 1 << 40, 7 | 3 << 50: 7 | 3 << 50 | 1 << 63}
+    values = {p - 2**64 if p >> 63 else p for p in [*shared, *planted, *planted.values()]}
+    edges = sim.near_fingerprints(spark.createDataFrame([(v,) for v in values], "fingerprint long"))
+    got = {tuple(r) for r in edges.collect()}
+
+    def near(value):
+        flips = [1 << a for a in range(64)] + [0]
+        around = {value ^ a ^ b for a in flips for b in flips}
+        return {v for v in ((x + 2**63) % 2**64 - 2**63 for x in around) if v in values and v != value}
+
+    some = rng.sample(sorted(values), 100) + [5 | 1 << 40, 7 | 3 << 50]
+    for value in some:
+        assert near(value) == {b if a == value else a for a, b in got if value in (a, b)}
 
 
 def test_empty_tables_and_rows_without_id(spark):

@@ -1,27 +1,34 @@
-"""SimHash fingerprints and near copies by neighbours at one bit.
-
-Two fingerprints that differ in at most two bits have a neighbour in common that differs from
-each by at most one, so it is enough to enumerate the ball of radius one around each and to look
-the results up in one table, keyed by the whole fingerprint. There are no tables keyed by segments,
-as multi-index hashing has: a segment that many fingerprints share would have to be split. A
-table entry can hold no more than 65 fingerprints, however many documents are near copies of
-each other: they all lie within one bit of the entry. Only different fingerprints are indexed.
+"""SimHash fingerprints and near copies by multi-index hashing.
+
+Of two fingerprints that differ in at most two bits, one of the two 32-bit segments differs in at
+most one. So there is a table for each segment, in which every fingerprint stands under its own
+segment; each fingerprint looks up the values in a ball of radius one around each of its segments,
+and complete distances are verified on what the tables hold there.
+
+A segment that very many different fingerprints share would make one entry too large for a task.
+Such entries, and the lookups that hit them, go to tables keyed by half of the bits that were free
+as well: 48 bits, then 56. What is left of the distance again fits one of the halves in at most one
+bit, or none where the ball has used one, so no link is lost. An entry of 56 bits holds 256 different
+fingerprints at most, whatever the texts. Only different fingerprints are indexed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
 from tideline.llm.tables import Stored, row_key
 
-SHINGLE, SEED, BITS = 3, 42, 64
+SHINGLE, SEED, BITS, DISTANCE = 3, 42, 64, 2
+#: Comparisons an entry may take before it is split, and the free bits at which splitting ends.
+WORK, SMALLEST = 1 << 22, 8
 #: Hashes whose bits are counted at a time, which bounds the memory a long text takes.
 CHUNK = 1 << 16
 
@@ -61,22 +68,64 @@ def with_fingerprints(
     return docs.withColumn(into, of(F.col(text)))
 
 
-def near_fingerprints(prints: DataFrame) -> DataFrame:
-    """Edges ``a, b`` between different fingerprints (one column of longs) at two bits or fewer.
+def _narrow(entries: DataFrame, free: int, ball: bool) -> DataFrame:
+    """``entries`` keyed by half of their free bits as well, once for each half.
 
-    Not all of them: each table entry links its fingerprints to the smallest in it, which
-    connects the same ones.
+    ``key`` is the fingerprint with ``free`` bits from ``low`` on left out. With ``ball`` also the
+    values one bit away, for rows that have not ``used`` their bit. Only bits that are 0 are
+    changed: of two values one bit apart exactly one reaches the other so.
+    """
+    half = free // 2
+    sides = entries.withColumn("side", F.explode(F.array(F.lit(0), F.lit(half)))).selectExpr(
+        "print", "used", f"low + {half} - side AS rest", "low + side AS fixed",
+        f"key | (print & shiftleft({(1 << half) - 1}L, low + side)) AS key",
+    )
+    if ball:
+        sides = (
+            sides.withColumn("place", F.explode(F.sequence(F.lit(-1), F.lit(half - 1))))
+            .where("place < 0 OR (used = 0 AND (shiftright(print, fixed + place) & 1L) = 0)")
+            .selectExpr(
+                "print", "IF(place < 0, used, 1) AS used", "rest",
+                "IF(place < 0, key, key | shiftleft(1L, fixed + place)) AS key",
+            )
+        )
+    return sides.select("print", "used", F.col("rest").alias("low"), "key")
+
+
+def near_fingerprints(prints: DataFrame, work: int = WORK) -> DataFrame:
+    """All pairs ``a, b`` of different fingerprints (one column of longs) at two bits or fewer, once.
+
+    An entry that would take more than ``work`` comparisons is split by further bits, down to
+    entries of 256 fingerprints.
     """
     (name,) = prints.columns
-    found = (
-        prints.distinct()
-        .select(F.col(name).alias("b"))
-        .withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(BITS))))
-        # Places 0 to 63 change a bit each; the last changes none.
-        .selectExpr("b", f"IF(place = {BITS}, b, b ^ shiftleft(1L, place)) AS entry")
+    whole = prints.where(F.col(name).isNotNull()).distinct().selectExpr(
+        f"`{name}` AS print", "0 AS used", "0 AS low", "0L AS key"
     )
-    linked = found.withColumn("a", F.min("b").over(Window.partitionBy("entry")))
-    return linked.where("a < b").where("bit_count(a ^ b) <= 2").select("a", "b").distinct()
+    whole = Stored(whole, "prints")
+    tables, lookups, found, over, free = whole.df, whole.df, [], [whole], BITS
+    while True:
+        tables, lookups, free = _narrow(tables, free, ball=False), _narrow(lookups, free, ball=True), free // 2
+        held = Stored(tables.groupBy("low", "key").agg(F.count("*").alias("held")), "held")
+        # What hits nothing but the fingerprint itself ends here, which is nearly all.
+        hits = Stored(lookups.join(held.df, ["low", "key"]).where("used = 1 OR held > 1"), "hits")
+        asked = hits.df.groupBy("low", "key").agg(F.first("held").alias("held"), F.count("*").alias("asked"))
+        sizes = Stored(asked.withColumn("hot", F.expr(f"held * asked > {work} AND {free} > {SMALLEST}")), "sizes")
+        over += [held, hits, sizes]
+        cold, hot = (sizes.df.where(kind).select("low", "key") for kind in ("NOT hot", "hot"))
+        there = tables.join(cold, ["low", "key"]).select("low", "key", F.col("print").alias("other"))
+        near = hits.df.join(there, ["low", "key"]).where(
+            f"(used = 1 OR print < other) AND bit_count(print ^ other) <= {DISTANCE}"
+        )
+        found.append(near.selectExpr("least(print, other) AS a", "greatest(print, other) AS b"))
+        if hot.isEmpty():
+            break
+        tables = tables.join(hot, ["low", "key"], "left_semi").select("print", "used", "low", "key")
+        lookups = hits.df.join(hot, ["low", "key"], "left_semi").select("print", "used", "low", "key")
+    links = Stored(reduce(DataFrame.union, found).distinct(), "links").df
+    for table in over:
+        table.drop()
+    return links
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keyed: bool = False) -> DataFrame:
