@@ -5,9 +5,9 @@ fine for most entities and fatal for one that holds a third of the table. Frames
 here reach a bounded number of rows back or ahead, so a hot entity can be cut into
 blocks along time, each block carrying copies of the few rows just outside it:
 
-1. :meth:`Axis.measured` counts rows per entity and sketches quantiles of its times; one with
-   more than a block's worth is *hot*. This is one aggregation per base panel, and its answer
-   holds for every table derived from that panel by dropping rows or adding columns;
+1. :meth:`Axis.measured` counts rows per entity; one with more than a block's worth is *hot*, and
+   quantiles of its times are sketched. This is done once per base panel, and its answer holds
+   for every table derived from that panel by dropping rows or adding columns;
 2. slice each hot entity at quantiles of its rows, so that neither bursts nor outliers make a
    slice large, and count rows per slice;
 3. group neighbouring slices into blocks, and note for each slice which other blocks
@@ -79,27 +79,17 @@ class Axis:
         return replace(self, block_rows=self.max_block_rows)
 
     def measured(self, df: DataFrame) -> Axis:
-        """This axis with the hot entities of ``df`` noted; runs one aggregation.
+        """This axis with the hot entities of ``df`` noted.
 
-        A block is a quarter of one core's share of the rows, within the set limits.
+        Rows are counted per entity first. Only where an entity is hot does a second aggregation
+        sketch quantiles, of the hot entities' times alone. A block is a quarter of one core's
+        share of the rows, within the set limits.
         """
         if self.block_rows is not None:
             return self
-        tick = _ticks(df, self)
-        shares = [k / QUANTILES for k in range(QUANTILES)]
-        entities = (
-            df.groupBy(self.entity)
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.percentile_approx(tick, shares, ACCURACY).alias("bounds"),
-                F.max(tick).alias("last"),
-            )
-            # Only entities that may be hot need them, so that what is kept stays small.
-            .withColumn("bounds", F.when(F.col("rows") > self.min_block_rows, F.col("bounds")))
-            .persist()
-        )
+        counted = df.groupBy(self.entity).agg(F.count(F.lit(1)).alias("rows")).persist()
         try:
-            seen = entities.agg(F.sum("rows").alias("total"), F.max("rows").alias("most")).first()
+            seen = counted.agg(F.sum("rows").alias("total"), F.max("rows").alias("most")).first()
             total = seen["total"] or 0
             share = total // (4 * df.sparkSession.sparkContext.defaultParallelism)
             size = max(
@@ -108,11 +98,18 @@ class Axis:
             if (seen["most"] or 0) <= size:
                 return replace(self, block_rows=size)
             # At most total / size rows, so at most max_blocks of them.
-            hot = tuple(
-                self._sliced(*r, size) for r in entities.where(F.col("rows") > size).collect()
-            )
+            large = counted.where(F.col("rows") > size).withColumnRenamed("rows", "_rows")
+            schema = large.schema
+            names = df.sparkSession.createDataFrame(large.collect(), schema)
         finally:
-            entities.unpersist()
+            counted.unpersist()
+        timed = _looked_up(df.select(self.entity, self.time), names, [self.entity])
+        shares = [k / QUANTILES for k in range(QUANTILES)]
+        tick = _ticks(df, self)
+        sketched = timed.where(F.col("_rows").isNotNull()).groupBy(self.entity).agg(
+            F.first("_rows"), F.percentile_approx(tick, shares, ACCURACY), F.max(tick)
+        )
+        hot = tuple(self._sliced(*r, size) for r in sketched.collect())
         return replace(self, block_rows=size, hot=hot)
 
     def _sliced(

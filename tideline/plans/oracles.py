@@ -1038,3 +1038,43 @@ sql(
     """SELECT CAST(ts AS DATE) AS day, regime, count(DISTINCT user_id) AS entities, CAST(count(*) AS BIGINT) AS rows
     FROM told GROUP BY 1, 2 HAVING max(CAST(ts AS DATE)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
 )
+sql(
+    "ticks_grouping_sets",
+    _STREAMED + """,
+cents AS (
+  SELECT event_type, regime, CAST(date_trunc('month', ts) AS DATE) AS month, CAST(round(value * 100) AS BIGINT) AS cents FROM told
+),
+grouped AS (
+  SELECT event_type, regime, month, CAST(grouping(event_type, regime, month) AS BIGINT) AS level, count(*) AS rows,
+    count(cents) AS known, CAST(sum(cents) AS BIGINT) AS total, min(cents) AS least, max(cents) AS most, avg(cents) AS mean
+  FROM cents GROUP BY GROUPING SETS ((event_type, regime, month), (event_type, regime), (regime, month), ())
+)""",
+    f"SELECT event_type, regime, month, level, rows, known, total, least, most, {rounded('mean')} FROM grouped",
+)
+sql(
+    "weekly_users_from_daily",
+    _STREAMED,
+    """SELECT CAST(date_trunc('week', ts) AS DATE) AS week, regime, count(DISTINCT user_id) AS entities
+    FROM told GROUP BY ALL""",
+)
+sql(
+    "event_props",
+    "",
+    """SELECT event_id, CASE WHEN event_id % 97 = 0 THEN props[:-2] END AS malformed,
+    CASE WHEN event_id % 97 = 0 OR event_id % 89 = 1 THEN NULL WHEN event_id % 83 = 2 THEN 5
+    ELSE CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END AS k FROM events""",
+)
+sql(
+    "gauge_closed_form_weights",
+    """WITH odds AS (
+  SELECT event_type AS t, event_type NOT IN ('error', 'click') AS other,
+    CAST(value >= 20 AS INTEGER) AS label FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL
+),
+logits AS (
+  SELECT ln(sum(label) FILTER (WHERE t = 'error') / sum(1 - label) FILTER (WHERE t = 'error')) AS error,
+    ln(sum(label) FILTER (WHERE t = 'click') / sum(1 - label) FILTER (WHERE t = 'click')) AS click,
+    ln(sum(label) FILTER (WHERE other) / sum(1 - label) FILTER (WHERE other)) AS rest FROM odds
+)""",
+    """SELECT 'is_error' AS feature, round(error - rest, 3) AS weight FROM logits
+    UNION ALL SELECT 'is_click', round(click - rest, 3) FROM logits""",
+)

@@ -14,15 +14,15 @@ from pyspark.sql import types as T
 
 from tideline.functions import positive_probability
 from tideline.operators import (
-    asof, breadth, calendar, cleaning, clusters, diagnostics, features, gauge, intervals, ranking, reshape, returns, runs,
-    transitions,
+    asof, breadth, calendar, cleaning, clusters, diagnostics, features, gauge, intervals, ranking, reshape, returns, rollups,
+    runs, transitions,
 )
 from tideline.operators.layout import Axis
 from tideline.plans import panels, stages
 from tideline.plans.panels import DAILY, LEAD, TICKS
 from tideline.session import materialise, scratch_path, stored
 from tideline.settings import FEATURES, REGIMES
-from tideline.sources import readers, writers
+from tideline.sources import json_columns, readers, writers
 from tideline.streaming import run_ids as streamed_runs
 from tideline.streaming import windows
 
@@ -920,6 +920,18 @@ def gauge_laws(spark, sf_dir):
     )
 
 
+@query
+def gauge_closed_form_weights(spark, sf_dir):
+    """Weights of a fit on two of the event types, where they are differences of log odds."""
+    is_type = {f"is_{t}": (F.col("event_type") == t).cast("double") for t in ("error", "click")}
+    rows = panels.table(spark, sf_dir, "events").select(
+        (F.col("value") >= 20).cast("double").alias("label"), *[c.alias(n) for n, c in is_type.items()]
+    )
+    rows = rows.where("label IS NOT NULL AND is_error IS NOT NULL")
+    model = gauge.fit_gauge(rows, list(is_type))
+    return gauge.coefficient_table(spark, model, list(is_type)).withColumn("weight", F.round("weight", 3))
+
+
 @query
 def positive_probabilities(spark, sf_dir):
     """The positive element of probability vectors made from the rule scores."""
@@ -1173,3 +1185,36 @@ def ticks_streamed_breadth(spark, sf_dir):
         spark, sf_dir, lambda feed: windows.breadth_per_window(feed, "1 day", None, "1 hour", "user_id", "ts")
     )
     return found.select(F.to_date("window_start").alias("day"), "regime", "entities", "rows")
+
+
+@query
+def ticks_grouping_sets(spark, sf_dir):
+    """Cents by event type, regime and month, and by coarser groups merged from the same states."""
+    cents = F.round(F.col("value") * 100).cast("long").alias("cents")
+    month = F.to_date(F.date_trunc("month", "ts")).alias("month")
+    rows = panels.table(spark, sf_dir, "events").select("event_type", _tick_regime(), month, cents, "user_id")
+    keys = ["event_type", "regime", "month"]
+    states = rollups.summary_states(rows, keys, "cents", "user_id")
+    found = rollups.summaries(states, keys, [keys, keys[:2], keys[1:], []])
+    return found.drop("median", "entities")
+
+
+@query
+def weekly_users_from_daily(spark, sf_dir):
+    """Distinct users by week and regime, from bitmaps of each day."""
+    rows = panels.table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), _tick_regime(), "user_id")
+    states = rollups.distinct_states(rows, ["day", "regime"], "user_id")
+    weekly = states.withColumn("week", F.to_date(F.date_trunc("week", "day")))
+    return rollups.merged_distinct(weekly, ["week", "regime"])
+
+
+@query
+def event_props(spark, sf_dir):
+    """Properties of events as typed columns; some are made odd, and rows that are not JSON stay apart."""
+    odd = F.expr("""CASE WHEN event_id % 97 = 0 THEN substr(props, 1, length(props) - 1)
+        WHEN event_id % 89 = 1 THEN '{"k": "many"}'
+        WHEN event_id % 83 = 2 THEN concat('{"k": 5, "seen_', event_id, '": true}') ELSE props END""")
+    rows = panels.table(spark, sf_dir, "events").select("event_id", odd.alias("props"))
+    good, bad = json_columns.shredded(rows, "props", json_columns.fields_of(rows, "props"))
+    apart = bad.select("event_id", F.col("props").alias("malformed"))
+    return good.drop("props").unionByName(apart, allowMissingColumns=True)
