@@ -1078,3 +1078,18 @@ logits AS (
     """SELECT 'is_error' AS feature, round(error - rest, 3) AS weight FROM logits
     UNION ALL SELECT 'is_click', round(click - rest, 3) FROM logits""",
 )
+sql(
+    "trades_without_listed_days",
+    """WITH trades AS (
+  SELECT l_orderkey, l_linenumber, 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS "Date",
+    l_returnflag = 'R' AND l_quantity >= 25 AS listed FROM lineitem
+)""",
+    """SELECT l_orderkey, l_linenumber, symbol, "Date" FROM trades t WHERE NOT EXISTS (
+    SELECT 1 FROM trades x WHERE x.listed AND x.symbol = t.symbol AND x."Date" = t."Date")""",
+)
+sql(
+    "ticks_of_listed_users",
+    "",
+    """SELECT event_id, event_type, user_id FROM events
+    WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+)

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from tideline.functions import positive_probability
 from tideline.operators import (
-    asof, breadth, calendar, cleaning, clusters, diagnostics, features, gauge, intervals, ranking, reshape, returns, rollups,
-    runs, transitions,
+    asof, breadth, calendar, cleaning, clusters, diagnostics, exclusion, features, gauge, intervals, ranking, reshape, returns,
+    rollups, runs, transitions,
 )
 from tideline.operators.layout import Axis
 from tideline.plans import panels, stages
@@ -1218,3 +1218,22 @@ def event_props(spark, sf_dir):
     good, bad = json_columns.shredded(rows, "props", json_columns.fields_of(rows, "props"))
     apart = bad.select("event_id", F.col("props").alias("malformed"))
     return good.drop("props").unionByName(apart, allowMissingColumns=True)
+
+
+@query
+def trades_without_listed_days(spark, sf_dir):
+    """Trades of suppliers but on days that are listed for them: those with a large return."""
+    symbol = F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol")
+    day = [symbol, F.to_date("l_shipdate").alias("Date")]
+    lines = panels.table(spark, sf_dir, "lineitem")
+    listed = lines.where("l_returnflag = 'R' AND l_quantity >= 25").select(*day)
+    trades = lines.select("l_orderkey", "l_linenumber", *day)
+    return exclusion.without_keys(trades, listed, ["symbol", "Date"])
+
+
+@query
+def ticks_of_listed_users(spark, sf_dir):
+    """Events of users that are customers in debt."""
+    listed = panels.table(spark, sf_dir, "customer").where("c_acctbal < 0")
+    rows = panels.table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    return exclusion.with_keys(rows, listed.select(F.col("c_custkey").alias("user_id")), ["user_id"])
