@@ -92,6 +92,38 @@ def test_model_finds_held_out_spans(trained):
     assert extra <= 0.02 * sum(map(len, base))
 
 
+def test_trained_model_adds_held_out_forms(trained):
+    """Spans of held-out texts, written as the patterns do not find them, are added."""
+    tagger, held_out = trained
+    plain = [r.text for r in held_out.select("text").collect()]
+    pairs = [pii.varied_text(t, pii.base_spans(t)) for t in plain]
+    found = [set(base + added) for base, added in pii.all_spans([t for t, _ in pairs], tagger)]
+    by = {}
+    for (text, spans), got in zip(pairs, found):
+        for span in spans:
+            assert span not in pii.base_spans(text)
+            by.setdefault(span[1], []).append(span in got)
+    shares = {pii.KINDS[k]: (sum(v) / len(v), len(v)) for k, v in by.items()}
+    assert sum(map(sum, by.values())) >= 0.9 * sum(map(len, by.values())), shares
+    wrong = sum(len(got - set(spans) - set(pii.base_spans(text))) for (text, spans), got in zip(pairs, found))
+    print("held-out forms found", shares, "wrong", wrong)
+    assert wrong <= 0.02 * sum(map(len, by.values()))
+
+
+@pytest.mark.parametrize("kind, text", [(0, "a@b.co"), (0, "joe.x@mail.firm.org"), (1, "10.0.0.1"), (2, "4111 1111 1111 1111"), (3, "+1 (017) 555-7713")])
+def test_varied_forms_still_look_like_their_kind(kind, text):
+    for pick in range(40):
+        form = pii.varied(kind, text, pick)
+        assert (0, kind, len(form)) not in pii.base_spans(form) and pii._looks_right(kind, form), form
+
+
+def test_training_windows_do_not_depend_on_partitions(spark):
+    docs = spark.range(3000).select(F.concat(F.lit("mail a"), F.col("id"), F.lit("@b.co or call "), F.hash("id")).alias("text"))
+    one = {tuple(map(bytes, r)) for r in pii.training_windows(docs, sample=128).collect()}
+    assert one == {tuple(map(bytes, r)) for r in pii.training_windows(docs.repartition(9), sample=128).collect()}
+    assert 32 <= len(one) <= 128
+
+
 def test_detect_keeps_base_spans(spark, trained):
     long = "word " * 30_000 + "a@b.co " + "7" * 5000 + " 10.0.0.1"
     rows = [(1, "mail a@b.co or +1 (017) 555-7713\n"), (2, None), (3, ""), (None, "10.0.0.1"), (5, long), (5, long)]

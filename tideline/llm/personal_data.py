@@ -1,11 +1,13 @@
-"""Personal data: base patterns, and a character model that adds spans around them.
+"""Personal data: base patterns, and a character model that adds spans beyond them.
 
 The patterns find what they define, in time that grows with the text alone. A bidirectional LSTM
-with CRF transitions is trained from the spans they label in a bounded sample of windows. It reads
-windows that overlap, wherever a text has a digit or an @, without which no kind can be; the
-scores of overlapping windows are averaged, each weighing most in its middle, and one path is
-decoded over the whole stretch. A span it adds must still look like its kind and either touches no
-base span or contains those it touches, one of its kind among them; base spans always stay.
+with CRF transitions is trained from labelled spans in a bounded sample of windows: the base spans
+of the texts, and the same texts with each span written in a form that the patterns miss or cut
+short (see :func:`varied`). It reads windows that overlap, around every word that has a digit, an
+@ or an at in brackets, without which no kind can be; the scores of overlapping windows are
+averaged, each weighing most in its middle, and one path is decoded over the whole stretch. A span
+it adds must still look like its kind and either touches no base span or contains those it
+touches, one of its kind among them; base spans always stay.
 """
 
 from __future__ import annotations
@@ -16,18 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.char_tagger import PAD, WIDTH, Tagger, codes
-from tideline.llm.tables import hashed_sample
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE, LABELS = 0, 1 + 2 * len(KINDS)  # 1, 3, ... begin a kind; 2, 4, ... go on with it
 #: Windows the model learns from at most, and characters between the starts of two windows.
 SAMPLE, STRIDE = 3000, 32
-#: Characters around a digit or @ that the model reads, and windows it reads at a time.
+#: Batches the model is trained on.
+STEPS = 500
+#: Characters that the model reads on both sides of a word it reads, and windows at a time.
 MARGIN, AT_ONCE = 24, 512
+#: The sample is cut in as many parts by a hash; half of them are of windows with a span.
+PARTS = 64
 
 Span = tuple[int, int, int]  # start, place of its kind in KINDS, end (exclusive)
 
@@ -39,7 +45,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[\[({]at[\])}]", re.IGNORECASE)
+_WORD = re.compile(r"\S+")
+_SPELLED = re.compile(r"[^\s@]+ ?[\[({]at[\])}] ?[^\s@]+(?: ?[\[({]dot[\])}] ?[^\s@]+)*", re.IGNORECASE)
+_PARTED = re.compile(r"[0-9]{1,3}(?:(?: ?\. ?|\[\.\])[0-9]{1,3}){3}")
 _EXTENSION = re.compile(r",? ?(?:x|ext\.?|extension) ?[0-9]{1,6}$", re.IGNORECASE)
 
 
@@ -94,10 +103,51 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+def varied(kind: int, text: str, pick: int) -> str:
+    """A base span's text in another form of its kind, which the base patterns miss or cut short.
+
+    Emails get a letter beyond ASCII or an at in brackets, addresses spaced or bracketed dots, cards
+    dots or slashes between groups of four, phones an extension, slashes, or no plus.
+    """
+    digits = _digits(text)
+    if kind == 0:
+        local, _, domain = text.partition("@")
+        middle = len(local) // 2
+        spelled = domain.replace(".", " [dot] ")
+        return (
+            f"{local[:middle]}{'éüøñ'[pick // 5 % 4]}{local[middle + 1 :]}@{domain}",
+            f"{local} [at] {spelled}", f"{local}[at]{domain}", f"{local} (at) {domain}", f"{local} [at] {domain}",
+        )[pick % 5]
+    if kind == 1:
+        return text.replace(".", (" . ", "[.]")[pick % 2])
+    if kind == 2:
+        return "./"[pick % 2].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    return (
+        f"{text} ext. {pick // 4 % 90 + 10}", f"{text} x{pick // 4 % 900 + 100}",
+        f"+{digits[:-10] or digits[:1]}/{digits[-10:-7]}/{digits[-7:]}", f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}",
+    )[pick % 4]
+
+
+def varied_text(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+    """The text with its spans in other forms, chosen by a hash of each; of spans that overlap the first."""
+    parts, out, at, length = [], [], 0, 0
+    for a, kind, b in spans:
+        if a < at:
+            continue
+        form = varied(kind, text[a:b], xxhash.xxh32_intdigest(f"{text[a:b]}:{a}"))
+        parts += [text[at:a], form]
+        length += a - at
+        out.append((length, kind, length + len(form)))
+        length, at = length + len(form), b
+    return "".join([*parts, text[at:]]), out
+
+
 def _stretches(text: str) -> list[tuple[int, int]]:
-    """Where the model reads: what lies around digits and @, merged where it touches."""
+    """Where the model reads: words that a span can have part in, with what lies around them, merged where they touch."""
     out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
+    for m in _WORD.finditer(text):
+        if not _TRIGGER.search(text, m.start(), m.end()):
+            continue
         low, high = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
         if out and low <= out[-1][1]:
             out[-1][1] = high
@@ -128,25 +178,49 @@ def _padded(text: str, start: int, end: int) -> np.ndarray:
     return out
 
 
+def _labelled(text: str) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Part, hash, codes and labels of the windows of a text and of its varied form."""
+    spans = base_spans(text)
+    for one, found in [(text, spans), varied_text(text, spans)] if spans else [(text, spans)]:
+        for stretch in _stretches(one):
+            for a, b in _windows(*stretch):
+                window = _padded(one, a, b).astype(np.int8).tobytes()
+                labels = _gold(found, a, b).astype(np.int8).tobytes()
+                digest = xxhash.xxh64_intdigest(window + labels) >> 1
+                half = PARTS // 2
+                yield digest % half + half * any(labels), digest, window, labels
+
+
+def _first_of_parts(found: set[tuple], quota: int) -> set[tuple]:
+    """The least ``quota`` windows of each part."""
+    parts: dict[int, list] = {}
+    for one in sorted(found):
+        parts.setdefault(one[0], []).append(one)
+    return {one for part in parts.values() for one in part[:quota]}
+
+
 def training_windows(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` windows of codes with their labels, chosen by a hash of the window."""
+    """At most ``sample`` windows of codes with their labels, chosen by a hash of the window.
 
-    @F.pandas_udf("array<struct<window:binary,labels:binary>>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    Half of them at most are without a span. Each task cuts its windows to the sample's size, so
+    only so many of a task are shuffled, and the sample does not depend on partitions.
+    """
+    quota = max(1, sample // PARTS)
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: set[tuple] = set()
         for batch in batches:
-            out = []
-            for one in batch:
-                spans = base_spans(one)
-                out.append([
-                    {"window": _padded(one, a, b).astype(np.int8).tobytes(),
-                     "labels": _gold(spans, a, b).astype(np.int8).tobytes()}
-                    for stretch in _stretches(one or "") for a, b in _windows(*stretch)
-                ])
-            yield pd.Series(out, dtype=object)
+            for one in batch["t"]:
+                for window in _labelled(one):
+                    found.add(window)
+                    if len(found) > 8 * quota * PARTS:
+                        found = _first_of_parts(found, quota)
+        yield pd.DataFrame(sorted(_first_of_parts(found, quota)), columns=["part", "hash", "window", "labels"])
 
-    rows = docs.select(F.col(text).alias("t")).where(F.col("t").rlike("[0-9@]"))
-    windows = rows.select(F.explode(of("t")).alias("w")).select("w.*").distinct()
-    return hashed_sample(windows, sample, ["window", "labels"])
+    rows = docs.select(F.col(text).alias("t")).where(F.col("t").rlike(r"(?i)[0-9@]|[\[({]at[\])}]"))
+    windows = rows.mapInPandas(task, "part int, hash long, window binary, labels binary").distinct()
+    order = Window.partitionBy("part").orderBy("hash", "window", "labels")
+    return windows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= quota).select("window", "labels")
 
 
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Tagger | None:
@@ -157,7 +231,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Tagger |
     windows = np.stack([np.frombuffer(r.window, np.int8).astype(np.int64) for r in rows])
     gold = np.stack([np.frombuffer(r.labels, np.int8).astype(np.int64) for r in rows])
     tagger = Tagger(LABELS)
-    tagger.fit(windows, gold)
+    tagger.fit(windows, gold, steps=STEPS, batch=64)
     return tagger
 
 
@@ -165,11 +239,9 @@ def _looks_right(kind: int, text: str) -> bool:
     """What an added span must have; wider than the base patterns, and still telling."""
     digits = _digits(text)
     if kind == 0:
-        return bool(re.fullmatch(r"[^\s@]+@[^\s@]+[A-Za-z0-9]", text))
+        return bool(re.fullmatch(r"[^\s@]+@[^\s@]+[A-Za-z0-9]", text) or _SPELLED.fullmatch(text))
     if kind == 1:
-        return bool(re.fullmatch(r"[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}", text)) and all(
-            int(p) <= 255 for p in text.replace(" ", "").split(".")
-        )
+        return bool(_PARTED.fullmatch(text)) and all(int(p) <= 255 for p in re.findall("[0-9]+", text))
     if kind == 2:
         return 14 <= len(digits) <= 19 and luhn(digits) and not re.search(r"[^0-9 ./-]", text)
     number = _EXTENSION.sub("", text)
