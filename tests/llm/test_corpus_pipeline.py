@@ -22,7 +22,10 @@ def plain_run(spark, sf_dir):
     rows = {i: t for i, t in rows.items() if model.score(np.array([rule_quality.statistics(t)]))[0] >= 0.3}
     rows = {i: rows[i] for i, _, first in brute_classes(list(rows.items())) if i == first}
     spans = covered([(t or "").encode() for t in rows.values()], 200)
-    rows = {i: suffix_radix.cut_text((t or "").encode(), s, e) for (i, t), (s, e) in zip(rows.items(), spans)}
+    for (i, t), (s, e) in zip(list(rows.items()), spans):
+        body = (t or "").encode()
+        gone = np.array([y - x >= 400 or len(body[x:y].split()) >= 50 for x, y in zip(s, e)], bool)
+        rows[i] = suffix_radix.cut_text(body, s[gone], e[gone])
     cleaned = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     tagger = personal_data.train(cleaned)
     out = {}

@@ -123,3 +123,25 @@ def test_ten_thousand_identical_rows(spark):
         "doc_id", "n_bytes", "n_removed", "n_spans", F.length("text").alias("left")).distinct().collect()}
     assert out.count() == 10_002
     assert got == {(None, 10_000, 10_000, 1): 0, (1, 5_700, 700, 1): 5_000, (2, 5, 0, 0): 5}
+
+
+def test_short_runs_of_few_words_stay(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    many, few, long = " ".join(word(3) for _ in range(10)), " ".join(word(12) for _ in range(3)), word(70)
+    rows = []
+    for i in range(40):
+        parts = [many if i % 2 else few, word(40), long if i % 3 else few, word(40)]
+        rows.append((i, "|".join(rng.sample(parts, 4))))
+    docs = spark.createDataFrame(rows + rows[:1], "doc_id long, text string")
+    depth = suffix.Depth(30, words=9)
+    out = sorted((r.doc_id, r.n_removed, r.n_spans, r.text) for r in suffix.digests(docs, depth=depth).collect())
+    bodies = [t.encode() for _, t in rows + rows[:1]]
+    want = []
+    for (i, _), b, (s, e) in zip(rows + rows[:1], bodies, covered(bodies, 30)):
+        runs = [(x, y) for x, y in zip(s, e) if y - x >= 60 or len(b[x:y].split()) >= 9]
+        s, e = np.array([x for x, _ in runs], int), np.array([y for _, y in runs], int)
+        want.append((i, int((e - s).sum()), len(runs), suffix.cut_out(b, s, e).decode()))
+    assert out == sorted(want)
+    texts = {t for _, _, _, t in out}
+    assert any(few in t for t in texts) and not any(many in t or long in t for t in texts)

@@ -72,12 +72,14 @@ class Hashes:
 
 @dataclass(frozen=True)
 class Depth:
-    """The threshold and other lengths, which change no result: how many suffixes a piece has, and
-    how many bytes a task hashes at a time."""
+    """The threshold, and the words that a run has if it is shorter than twice the threshold; a run
+    with fewer stays. Other lengths change no result: how many suffixes a piece has, and how many
+    bytes a task hashes at a time."""
 
     threshold: int = 400
     piece: int = 8
     chunk: int = 1 << 19
+    words: int = 0
 
     @property
     def gram(self) -> int:
@@ -336,7 +338,17 @@ _OUT_SCHEMA = "n_bytes long, n_removed long, n_spans long, kept string, kept_sha
 _OUT_NAMES = ["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
 
 
-def _results(bodies: list[bytes], spans: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+def _with_words(body: bytes, start: np.ndarray, end: np.ndarray, depth: Depth) -> tuple[np.ndarray, np.ndarray]:
+    """The runs that go for their words or their length."""
+    enough = [
+        b - a >= 2 * depth.threshold or len(body[a:b].split()) >= depth.words for a, b in zip(start.tolist(), end.tolist())
+    ]
+    return start[np.array(enough, bool)], end[np.array(enough, bool)]
+
+
+def _results(bodies: list[bytes], spans: list[tuple[np.ndarray, np.ndarray]], depth: Depth) -> list[pa.Array]:
+    if depth.words:
+        spans = [_with_words(b, s, e, depth) for b, (s, e) in zip(bodies, spans)]
     kept = [cut_text(b, s, e) for b, (s, e) in zip(bodies, spans)]
     digests = [hashlib.sha256(cut_out(b, s, e)).hexdigest() for b, (s, e) in zip(bodies, spans)]
     return [
@@ -409,7 +421,7 @@ def _open_texts(texts: DataFrame, depth: Depth) -> DataFrame:
             names = ["rest", "key", "tag", *_OUT_NAMES, "body", "known", "pieces"]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("rest"), batch.column("key"), batch.column("tag"), *_results(bodies, spans),
+                    batch.column("rest"), batch.column("key"), batch.column("tag"), *_results(bodies, spans, depth),
                     pa.array([b if w else None for b, w in zip(bodies, wide)], pa.binary()),
                     pa.array(known, intervals_type),
                     pa.ListArray.from_arrays(_int(np.append(0, ends)), structs),
@@ -441,7 +453,7 @@ def _last_passes(opened: DataFrame, depth: Depth, used: list[Stored]) -> DataFra
     return settled.union(last).groupBy("key", "tag").agg(F.collect_set(F.struct("first", "until")).alias("added"))
 
 
-def _closed_texts(opened: DataFrame, schema_of: DataFrame) -> DataFrame:
+def _closed_texts(opened: DataFrame, schema_of: DataFrame, depth: Depth) -> DataFrame:
     schema = f"rest {schema_of.schema['rest'].dataType.simpleString()}, {_OUT_SCHEMA}"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -450,7 +462,7 @@ def _closed_texts(opened: DataFrame, schema_of: DataFrame) -> DataFrame:
             spans = [
                 merged(np.append(a[0], b[0]).astype(np.int64), np.append(a[1], b[1]).astype(np.int64)) for a, b in both
             ]
-            out = _results(batch.column("body").to_pylist(), spans)
+            out = _results(batch.column("body").to_pylist(), spans, depth)
             yield pa.RecordBatch.from_arrays([batch.column("rest"), *out], names=["rest", *_OUT_NAMES])
 
     return opened.select("rest", "body", "known", "added").mapInArrow(task, schema)
@@ -469,7 +481,8 @@ def without_repeats(docs: DataFrame, text: str = "text", depth: Depth = Depth())
     struct ``rest``, and ``n_bytes, n_removed, n_spans, kept, kept_sha256``: the UTF-8 length, how
     many bytes and maximal runs go, what is left as text, where a character that would go in part
     stays, and the SHA-256 of the bytes that are left. Null texts count as empty; rows that are the
-    same in all columns count as texts of their own, so all lose what is long enough.
+    same in all columns count as texts of their own, so all lose what is long enough. With
+    ``depth.words`` a maximal run shorter than twice the threshold goes only if it has that many words.
     """
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
@@ -489,7 +502,7 @@ def without_repeats(docs: DataFrame, text: str = "text", depth: Depth = Depth())
     added = Stored(_last_passes(opened, depth, used), "added").df
     _dropped(used)
     unsettled = opened.where("body IS NOT NULL").select("rest", "key", "tag", "body", "known")
-    closed = _closed_texts(unsettled.join(added, ["key", "tag"], "left"), opened)
+    closed = _closed_texts(unsettled.join(added, ["key", "tag"], "left"), opened, depth)
     return opened.where("body IS NULL").select("rest", *_OUT_NAMES).union(closed)
 
 
