@@ -120,3 +120,23 @@ def test_a_missing_day_shortens_a_span(spark, bars):
     df = bars({"a": [1.0, 2.0, 3.0, 4.0]}, days=[0, 1, 9, 10])
     got = [(r.price_mean_7d, r.price_count_7d) for r in calendar_features(df).orderBy("Date").collect()]
     assert got == [(1.0, 1), (1.5, 2), (3.0, 1), (3.5, 2)]
+
+
+def test_span_statistics_run_in_running_frames(spark):
+    """Each span is a difference of frames from a block's start, not a sliding frame per row."""
+    t = datetime.datetime(2024, 1, 1)
+    data = [
+        (1, "a", t, 100.0), (2, "a", t, 300.0), (3, "a", t + datetime.timedelta(hours=5), None),
+        (4, "a", t + datetime.timedelta(hours=7), 50.0), (5, "a", None, 7.0), (6, "b", t, 5.0),
+    ]
+    df = spark.createDataFrame(data, "id long, kind string, ts timestamp, value double")
+    axis = Axis(entity="kind", time="ts", min_block_rows=2)
+    found = span_statistics(df, axis, "value", {"6h": datetime.timedelta(hours=6)}, "v")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedpreceding" in plan.lower() and "-21599999999" not in plan
+    got = {r.id: (r.v_mean_6h, r.v_std_6h, r.v_count_6h) for r in found.collect()}
+    assert got[1] == got[2] == (200.0, pytest.approx(2**0.5 * 100), 2)
+    assert got[3] == (200.0, pytest.approx(2**0.5 * 100), 2)
+    assert got[4] == (50.0, None, 1)
+    assert got[5] == (None, None, None)
+    assert got[6] == (5.0, None, 1)
