@@ -132,3 +132,18 @@ def test_label_order_and_replication(spark):
     ]
     plan = copies._jdf.queryExecution().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_nearest_centre_reads_each_vector_once(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tideline.plans.queries import _nearest
+
+    centres = [[0.0, 0.0], [3.0, 4.0], [0.0, 0.0], [1.0, 1.0]]
+    rows = [(Vectors.dense([0.1, 0.2]),), (Vectors.dense([2.9, 4.2]),), (Vectors.dense([0.6, 0.6]),), (Vectors.dense([0.5, 0.5]),)]
+    nearest = _nearest("v", centres)
+    got = [r.n for r in spark.createDataFrame(rows, ["v"]).select(nearest.alias("n")).collect()]
+    # The first of equal centres wins: 0 over 2, and 0 over 3 for a point halfway between them.
+    assert got == [0, 1, 3, 0]
+    # Once per row, not once per centre and component.
+    assert str(nearest).count("vector_to_array") == 1
