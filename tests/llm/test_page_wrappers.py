@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -191,3 +192,47 @@ def test_texts_are_compared_over_every_structure_of_a_host(spark):
     (one,) = pages.wrappers(table).collect()
     shown = pages.Wrapper.loads(one.wrapper).texts
     assert max(pages for pages, _ in shown.values()) == 20
+
+
+@pytest.mark.parametrize("size", [None, 3])
+def test_wrappers_describe_every_structure_of_a_host(spark, size):
+    """However rare or long a structure is, and however the structures are dealt out."""
+    tags = ["div", "section", "blockquote", "figure", "details"]
+    htmls = ["<body>" + "".join(f"<{t}>t{i}</{t}>" for b, t in enumerate(tags) if i >> b & 1) + "</body>" for i in range(32)]
+    long = random.Random(1).choices(["h1", "h2", "h3", "h4", "h5", "pre", "ul", "ol", "dl", "table"], k=3000)
+    htmls.append("<body>" + "".join(f"<{t}>a</{t}>" for t in long) + "</body>")
+    streams = [pages.fold([s for s, _ in pages.read(h)]) for h in htmls]
+    assert len(streams[-1]) > 1500
+    rows = [(i, "http://h.example/p", h) for i, h in enumerate(htmls)] + [(99, "http://one.example/", htmls[1])]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: r for r in pages.wrappers(table, **({"size": size} if size else {})).collect()}
+    assert sorted(got) == ["h.example", "one.example"]
+    wrapper = pages.Wrapper.loads(got["h.example"].wrapper)
+    assert all(set(unfolded(s)) <= set(unfolded(wrapper.nodes)) for s in streams)
+    assert all(-1 not in wrapper.match(s, [1] * len(s)) for s in streams)
+    assert got["one.example"].expression == "<body><div>#body/div</div></body>"
+
+
+def test_rare_structures_are_compared(spark):
+    """A slot that only rare structures have is template where they all show the same."""
+    rare = ["div", "section", "blockquote"]
+    rows = []
+    for i in range(20):  # more frequent structures than a wrapper was once inferred from
+        extra = "".join(f"<{t}>x</{t}>" for b, t in enumerate(["ul", "ol", "dl", "pre", "figure"]) if i >> b & 1)
+        rows += [(100 * i + k, "http://h.example/p", f"<body><p>text {i} {k}</p>{extra}</body>") for k in range(3)]
+    rows += [(9000 + k, "http://h.example/q", f"<body><p>text {k}</p><table><tr><td>Terms</td></tr></table><{t}>own {k}</{t}></body>") for k, t in enumerate(rare)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.page_texts(table).collect()}
+    assert [got[9000 + k] for k in range(3)] == [f"text {k}\nown {k}" for k in range(3)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcd"), min_size=1, max_size=12), min_size=1, max_size=12))
+def test_united_wrappers(streams):
+    folded = [pages.fold(s) for s in streams]
+    one = pages.united([pages.infer(folded[i : i + 3]) for i in range(0, len(folded), 3)])
+    assert all(set(s) <= set(unfolded(one.nodes)) for s in streams)
+    flat = pages.infer(folded)
+    written = flat.expression()
+    flat.shorten()
+    assert flat.expression() == written and pages.Wrapper.loads(flat.dumps()) == flat
