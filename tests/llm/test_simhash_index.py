@@ -137,3 +137,19 @@ def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(40)] + [(101, 100), (100, 101), (7, 7), (200, 200), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_long_tables_are_not_broadcast(spark, monkeypatch):
+    """Spark takes the balls around fingerprints for as small as the fingerprints that they are made of."""
+    plans = []
+
+    class Seen(sim.Stored):
+        def __init__(self, df, name):
+            plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+            super().__init__(df, name)
+
+    monkeypatch.setattr(sim, "Stored", Seen)
+    prints = spark.range(500).select(F.xxhash64("id").alias("fingerprint"))
+    sim.near_fingerprints(prints.union(prints.select(F.col("fingerprint").bitwiseXOR(F.lit(1)))))
+    assert {"hits", "links"} <= {name for name, _ in plans}
+    assert [name for name, plan in plans if "Broadcast" in plan] == []

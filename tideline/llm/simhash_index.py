@@ -97,6 +97,9 @@ def near_fingerprints(prints: DataFrame, work: int = WORK) -> DataFrame:
 
     An entry that would take more than ``work`` comparisons is split by further bits, down to
     entries of 256 fingerprints.
+
+    Spark sizes a table that is made longer by explode as if it were not, and stored ones by files
+    in which few different numbers take no room; so the joins say that neither side is broadcast.
     """
     (name,) = prints.columns
     whole = prints.where(F.col(name).isNotNull()).distinct().selectExpr(
@@ -108,20 +111,20 @@ def near_fingerprints(prints: DataFrame, work: int = WORK) -> DataFrame:
         tables, lookups, free = _narrow(tables, free, ball=False), _narrow(lookups, free, ball=True), free // 2
         held = Stored(tables.groupBy("low", "key").agg(F.count("*").alias("held")), "held")
         # What hits nothing but the fingerprint itself ends here, which is nearly all.
-        hits = Stored(lookups.join(held.df, ["low", "key"]).where("used = 1 OR held > 1"), "hits")
+        hits = Stored(lookups.join(held.df.hint("merge"), ["low", "key"]).where("used = 1 OR held > 1"), "hits")
         asked = hits.df.groupBy("low", "key").agg(F.first("held").alias("held"), F.count("*").alias("asked"))
         sizes = Stored(asked.withColumn("hot", F.expr(f"held * asked > {work} AND {free} > {SMALLEST}")), "sizes")
         over += [held, hits, sizes]
         cold, hot = (sizes.df.where(kind).select("low", "key") for kind in ("NOT hot", "hot"))
-        there = tables.join(cold, ["low", "key"]).select("low", "key", F.col("print").alias("other"))
-        near = hits.df.join(there, ["low", "key"]).where(
+        there = tables.join(cold.hint("merge"), ["low", "key"]).select("low", "key", F.col("print").alias("other"))
+        near = hits.df.join(there.hint("merge"), ["low", "key"]).where(
             f"(used = 1 OR print < other) AND bit_count(print ^ other) <= {DISTANCE}"
         )
         found.append(near.selectExpr("least(print, other) AS a", "greatest(print, other) AS b"))
         if hot.isEmpty():
             break
-        tables = tables.join(hot, ["low", "key"], "left_semi").select("print", "used", "low", "key")
-        lookups = hits.df.join(hot, ["low", "key"], "left_semi").select("print", "used", "low", "key")
+        tables = tables.join(hot.hint("merge"), ["low", "key"], "left_semi").select("print", "used", "low", "key")
+        lookups = hits.df.join(hot.hint("merge"), ["low", "key"], "left_semi").select("print", "used", "low", "key")
     links = Stored(reduce(DataFrame.union, found).distinct(), "links").df
     for table in over:
         table.drop()
