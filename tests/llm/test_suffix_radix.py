@@ -145,3 +145,19 @@ def test_short_runs_of_few_words_stay(spark):
     assert out == sorted(want)
     texts = {t for _, _, _, t in out}
     assert any(few in t for t in texts) and not any(many in t or long in t for t in texts)
+
+
+def test_counts_are_not_broadcast(spark, monkeypatch):
+    """Counts of buckets grow with the texts and are larger in memory than Spark takes their files for."""
+    plans = []
+
+    class Seen(suffix.Stored):
+        def __init__(self, df, name):
+            plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+            super().__init__(df, name)
+
+    monkeypatch.setattr(suffix, "Stored", Seen)
+    rows = [(i, "abcdefgh" * (i % 7) + str(i) * 9) for i in range(40)]
+    assert got(spark, rows, suffix.Depth(12)) == brute(rows, 12)
+    assert {"judged", "told", "pieces", "added"} <= {name for name, _ in plans}
+    assert [name for name, plan in plans if name in ("judged", "told", "pieces", "added") and "Broadcast" in plan] == []
