@@ -64,3 +64,16 @@ def test_roc_area_against_all_pairs(spark):
     pairs = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
     assert got.roc_auc == pytest.approx(pairs) and (got.positives, got.negatives) == (len(pos), len(neg))
     assert ranking.roc_area(spark.createDataFrame([(0.1, 1.0)], "p double, label double"), "p").first().roc_auc is None
+
+
+def test_cuts_do_not_grow_with_the_values(spark):
+    """A row's slice is looked up once, however many values are cut again along the ties."""
+
+    def lookups(values):
+        df = spark.range(values * 100).select("id", (F.col("id") % values).cast("double").alias("v"))
+        cut = ranking.cuts(df, "v", "id")
+        assert {p for _, p in cut.counts} == set(range(ranking.PARTS))
+        plan = df.withColumn("_slice", cut.slice).withColumn("_part", cut.part).withColumn("before", cut.before(True))
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction")
+
+    assert lookups(40) == lookups(4)

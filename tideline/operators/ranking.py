@@ -26,7 +26,8 @@ _SLICE, _PART = "_slice", "_part"
 
 @dataclass(frozen=True)
 class Cuts:
-    """Slices of a table: column expressions of a row's slice and part, and the counts of all."""
+    """Slices of a table: column expressions of a row's slice and, where that is a column, of its part,
+    and the counts of all."""
 
     slice: Column
     part: Column
@@ -44,14 +45,13 @@ class Cuts:
             by_slice[s + 1] += n
         for s in range(size):
             by_slice[s + 1] += by_slice[s]
-        out = F.get(_longs(by_slice), F.col(_SLICE))
-        cut = sorted({s for s, p in self.counts if p}) if parts else []
-        for s in cut:
-            passed = [0] * (PARTS + 1)
-            for p in range(PARTS):
-                passed[p + 1] = passed[p] + self.counts.get((s, p), 0)
-            out = out + F.when(F.col(_SLICE) == s, F.get(_longs(passed), F.col(_PART))).otherwise(0)
-        return out
+        if not parts:
+            return F.get(_longs(by_slice), F.col(_SLICE))
+        # One look-up for all slices, whether they are cut again or not.
+        passed = []
+        for s in range(size):
+            passed += [by_slice[s] + sum(self.counts.get((s, q), 0) for q in range(p)) for p in range(PARTS)]
+        return F.get(_longs(passed), F.col(_SLICE) * PARTS + F.col(_PART))
 
     def rows_in_slice(self) -> Column:
         size = 1 + max((s for s, _ in self.counts), default=0)
@@ -62,10 +62,10 @@ def _longs(numbers: list[int]) -> Column:
     return F.array(*[F.lit(n).cast("bigint") for n in numbers])
 
 
-def _last_not_after(value: Column, bounds: list) -> Column:
-    """Place of the last bound that is not after a value; ``bounds`` ascend, as many as a power of two."""
-    held = F.array(*[F.lit(b) for b in bounds])
-    steps = [len(bounds) >> k for k in range(1, len(bounds).bit_length())]
+def _last_not_after(value: Column, held: Column, size: int) -> Column:
+    """Place of the last bound that is not after a value; ``held`` has ``size`` of them in ascending order,
+    a power of two."""
+    steps = [size >> k for k in range(1, size.bit_length())]
     if not steps:
         return F.lit(0)
     return F.aggregate(
@@ -75,6 +75,10 @@ def _last_not_after(value: Column, bounds: list) -> Column:
     )
 
 
+def _array(values: list) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
 def _bounds(found: list, size: int) -> list:
     """Different bounds, the last one repeated up to ``size``."""
     kept = sorted(set(found))
@@ -89,9 +93,9 @@ def cuts(rows: DataFrame, by: str, tie: str | None = None) -> Cuts:
     if found["bounds"] is None:
         return Cuts(F.lit(0), F.lit(0), {(0, 0): rows.count()})
     bounds = _bounds([found["low"], *found["bounds"]][:SLICES], SLICES)
-    at = _last_not_after(value, bounds)
+    at = _last_not_after(value, _array(bounds), SLICES)
     # Rows without a value come first, then rows at a bound and rows after it in turn.
-    exact = F.get(F.array(*[F.lit(b) for b in bounds]), at) == value
+    exact = F.get(_array(bounds), at) == value
     slice_ = F.when(value.isNull(), 0).otherwise(1 + 2 * at + F.when(exact, 0).otherwise(1)).cast("int")
     # At a bound: all rows of the slice are equal.
     alike = F.col(_SLICE) % 2 == 1
@@ -106,12 +110,15 @@ def cuts(rows: DataFrame, by: str, tie: str | None = None) -> Cuts:
     )
     sizes = along.collect()
     total = sum(r["n"] for r in sizes)
+    # Only where equal rows are more than a slice should hold.
+    cut = {r[_SLICE]: _bounds(r["bounds"], PARTS) for r in sizes if r["bounds"] is not None and r["n"] > 2 * total // SLICES}
     part: Column = F.lit(0)
-    for r in sizes:
-        # Only where equal rows are more than a slice should hold.
-        if r["bounds"] is not None and r["n"] > 2 * total // SLICES:
-            within = _last_not_after(F.col(tie), _bounds(r["bounds"], PARTS))
-            part = F.when(slice_ == r[_SLICE], F.when(F.col(tie).isNull(), 0).otherwise(within)).otherwise(part)
+    if cut:
+        # The bounds of all slices are one array, looked up once a row by the slice that the row is in.
+        of = F.get(_longs([sorted(cut).index(s) if s in cut else -1 for s in range(max(cut) + 1)]), F.col(_SLICE))
+        held = F.get(F.array(*[_array(cut[s]) for s in sorted(cut)]), of.cast("int"))
+        within = _last_not_after(F.col(tie), held, PARTS)
+        part = F.when(of < 0, 0).when(F.col(tie).isNull(), 0).otherwise(F.coalesce(within, F.lit(0)))
     counted = numbered.withColumn(_PART, part.cast("int")).groupBy(_SLICE, _PART).agg(F.count(F.lit(1)).alias("n"))
     return Cuts(slice_, part.cast("int"), {(r[_SLICE], r[_PART]): r["n"] for r in counted.collect()})
 
